@@ -23,7 +23,7 @@ def fill_hours(by_hour: DataFrame, *measures: str) -> DataFrame:
 
 
 def _two_days(rows: DataFrame, date: str, hour: str, day: str, measure) -> DataFrame:
-    today, yesterday = F.try_to_date(F.lit(day), F.lit("yyyy-M-d")), previous_day(F.lit(day))
+    today, yesterday = F.try_to_date(F.lit(day), "yyyy-M-d"), previous_day(F.lit(day))
     on = F.col(date).try_cast("date")
     by_hour = (
         # one scan of both days, one conditional sum per series

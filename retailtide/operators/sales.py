@@ -34,12 +34,14 @@ def within_life(order_ts: Column, detail_ts: Column, seconds: int = JOIN_LIFE_SE
 
 
 def merge_order_and_detail(
-    orders: DataFrame, details: DataFrame, seconds: int = JOIN_LIFE_SECONDS
+    orders: DataFrame, details: DataFrame, seconds: int = JOIN_LIFE_SECONDS, salts: int = 1
 ) -> DataFrame:
     """Each detail with its order when both arrived in time.
 
     ``orders`` are enriched and carry ``order_ts``, ``details`` carry
-    ``detail_ts``. Sides that never meet are not emitted.
+    ``detail_ts``. Sides that never meet are not emitted. ``salts`` spreads the
+    details of one order over that many tasks and copies the order to each; a
+    batch join needs none, since the skew join splits a hot order at run time.
     """
     heads = orders.select(
         F.col("id").alias("order_id"),
@@ -57,9 +59,15 @@ def merge_order_and_detail(
         price(F.col("order_price")).alias("sku_price"),
         "detail_ts",
     )
-    same = F.col("order_id") == F.col("detail_order_id")
-    met = same & within_life(F.col("order_ts"), F.col("detail_ts"), seconds)
-    return heads.join(tails, met).drop("detail_order_id")
+    met = (F.col("order_id") == F.col("detail_order_id")) & within_life(
+        F.col("order_ts"), F.col("detail_ts"), seconds
+    )
+    if salts > 1:
+        heads = heads.withColumn("head_salt", F.explode(F.array(*map(F.lit, range(salts)))))
+        spread = F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int")
+        tails = tails.withColumn("tail_salt", spread)
+        met = (F.col("head_salt") == F.col("tail_salt")) & met
+    return heads.join(tails, met).drop("detail_order_id", "head_salt", "tail_salt")
 
 
 def latest_lines(lines: DataFrame) -> DataFrame:
