@@ -1,9 +1,9 @@
 """Coupon-abuse alerts: one device, several accounts, no item looked at.
 
 A sliding window of 300 s every 5 s holds each event 60 times. The batch form
-therefore counts per pane first, moves panes, never events, between tasks, and
-expands to windows only after the last shuffle of the members, and only for
-devices that can reach the threshold at all.
+therefore counts per pane first and expands to windows only after the last
+shuffle of the counts; the alerts also drop every device that cannot reach the
+threshold before anything else is done with it.
 
 What a window holds of a device is kept in long form, one "member" row per
 distinct account, item and event type, so no device is ever gathered in one
@@ -28,10 +28,10 @@ CLICK = "clickItem"
 MEMBER = ["mid", "kind", "value"]
 
 
-def members(events: DataFrame) -> DataFrame:
+def members(events: DataFrame, *keep: str) -> DataFrame:
     """Long form: each event's type, and a coupon's account and item.
 
-    Missing accounts and items are no members. Columns (mid, event_ts, kind, value).
+    Missing accounts and items are no members. Columns (*keep, mid, kind, value).
     """
     coupon = F.col("evid") == COUPON
 
@@ -43,7 +43,7 @@ def members(events: DataFrame) -> DataFrame:
         member("uid", "uid", coupon & F.col("uid").isNotNull()),
         member("item", "itemid", coupon & F.col("itemid").isNotNull()),
     )
-    rows = events.select("mid", "event_ts", F.inline(kinds))
+    rows = events.select(*keep, "mid", F.inline(kinds))
     return rows.filter(F.col("kind").isNotNull())
 
 
@@ -67,44 +67,49 @@ def alert_id(mid: Column, ts_ms: Column) -> Column:
     return F.concat_ws("_", mid, F.floor(ts_ms / F.lit(60_000)).cast("string"))
 
 
+def _down(at: Column, step: int) -> Column:
+    """The last multiple of ``step`` not after ``at``."""
+    return at - F.pmod(at, F.lit(step).cast("bigint"))
+
+
 class _Slices:
-    """Arithmetic of panes, window starts and buckets, in epoch seconds.
+    """Panes, window starts and buckets, all in epoch seconds.
 
     A bucket is a run of window starts about one window long. A pane belongs to
-    at most two buckets, and a bucket's panes of one member number at most twice
-    the panes of a window: that bounds the largest group any task sees.
+    at most two buckets, and a bucket has at most twice the panes of a window:
+    that bounds the rows of one member which meet in one task.
     """
 
     def __init__(self, size: int, slide: int):
-        self.size, self.slide = size, slide
+        self.slide = slide
         self.pane = gcd(size, slide)
         self.bucket = ceil(size / slide) * slide
+        self.gaps = slide > size
         at = F.col("pane")
-        self.last = at - F.pmod(at, F.lit(slide))
-        self.first = F.floor((at - size) / slide) * slide + slide
+        self.first = _down(at - size, slide) + slide
+        self.last = _down(at, slide)
 
-    def bucketed(self, rows: DataFrame) -> DataFrame:
-        """(bucket, pane, mid, kind, value, n)"""
+    def with_pane(self, events: DataFrame) -> DataFrame:
         seconds = F.unix_seconds(F.col("event_ts").cast("timestamp"))
-        panes = (
-            rows.withColumn("pane", seconds - F.pmod(seconds, F.lit(self.pane)))
-            .groupBy("pane", *MEMBER)
-            .agg(F.count("*").alias("n"))
-        )
-        reach = F.sequence(F.floor(self.first / self.bucket), F.floor(self.last / self.bucket))
-        return panes.filter(self.first <= self.last).withColumn("bucket", F.explode(reach))
+        placed = events.withColumn("pane", _down(seconds, self.pane))
+        # with gaps between the windows some panes are in none
+        return placed.filter(self.first <= self.last) if self.gaps else placed
+
+    def with_bucket(self, panes: DataFrame) -> DataFrame:
+        low, high = _down(self.first, self.bucket), _down(self.last, self.bucket)
+        reach = F.sequence(low, high, F.lit(self.bucket).cast("bigint"))
+        return panes.withColumn("bucket", F.explode(reach))
 
-    def windows(self, bucketed: DataFrame) -> DataFrame:
-        """(window_start, mid, kind, value, n), one shuffle on the members."""
-        low = F.col("bucket") * self.bucket
+    def windows(self, counts: DataFrame) -> DataFrame:
+        """(bucket, pane, member, n) to (window_start, member, n)."""
         starts = F.sequence(
-            F.greatest(self.first, low),
-            F.least(self.last, low + (self.bucket - self.slide)),
+            F.greatest(self.first, F.col("bucket")),
+            F.least(self.last, F.col("bucket") + (self.bucket - self.slide)),
             F.lit(self.slide).cast("bigint"),
         )
         # The keys of this shuffle are among the keys of the grouping, so the
         # expanded rows are summed where they are.
-        spread = bucketed.repartition("bucket", *MEMBER)
+        spread = counts.repartition("bucket", *MEMBER)
         return (
             spread.select("bucket", *MEMBER, "n", F.explode(starts).alias("window_start"))
             .groupBy("bucket", "window_start", *MEMBER)
@@ -112,8 +117,22 @@ class _Slices:
             .select("window_start", *MEMBER, "n")
         )
 
-    def bucket_of(self, window_start: Column) -> Column:
-        return F.floor(window_start / self.bucket)
+    def all_windows(self, events: DataFrame) -> DataFrame:
+        """Members of every window."""
+        placed = members(self.with_pane(events), "pane")
+        counts = placed.groupBy("pane", *MEMBER).agg(F.count("*").alias("n"))
+        return self.windows(self.with_bucket(counts))
+
+    def windows_of(self, events: DataFrame, places: DataFrame) -> DataFrame:
+        """Members of the windows in ``places``, rows of (bucket, mid)."""
+        placed = self.with_bucket(self.with_pane(events))
+        chosen = placed.join(places, ["bucket", "mid"], "left_semi")
+        counts = (
+            members(chosen, "bucket", "pane")
+            .groupBy("bucket", "pane", *MEMBER)
+            .agg(F.count("*").alias("n"))
+        )
+        return self.windows(counts)
 
 
 def _window_times(rows: DataFrame, size: int) -> DataFrame:
@@ -127,8 +146,7 @@ def device_profiles(
     events: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS
 ) -> DataFrame:
     """Every (window, device) with its counts and whether an item was clicked."""
-    slices = _Slices(size, slide)
-    windowed = slices.windows(slices.bucketed(members(events)))
+    windowed = _Slices(size, slide).all_windows(events)
     return _window_times(profile(windowed, "window_start", "mid"), size)
 
 
@@ -136,8 +154,7 @@ def device_members(
     events: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS
 ) -> DataFrame:
     """The members behind :func:`device_profiles`, each with its count."""
-    slices = _Slices(size, slide)
-    return _window_times(slices.windows(slices.bucketed(members(events))), size)
+    return _window_times(_Slices(size, slide).all_windows(events), size)
 
 
 def coupon_alerts(
@@ -148,18 +165,18 @@ def coupon_alerts(
 ) -> DataFrame:
     """(window, device) with at least ``uids`` coupon accounts and no click."""
     slices = _Slices(size, slide)
-    bucketed = slices.bucketed(members(events))
     # A device with too few accounts in all panes of a bucket has too few in each
-    # of its windows: drop it before the expansion.
+    # of its windows. This looks at coupons and three columns only.
+    coupons = events.filter((F.col("evid") == COUPON) & F.col("uid").isNotNull())
     able = (
-        bucketed.filter(F.col("kind") == "uid")
-        .select("bucket", "mid", "value")
+        slices.with_bucket(slices.with_pane(coupons))
+        .select("bucket", "mid", "uid")
         .distinct()
         .groupBy("bucket", "mid")
         .agg(F.count("*").alias("uids"))
         .filter(F.col("uids") >= uids)
     )
-    windowed = slices.windows(bucketed.join(able, ["bucket", "mid"], "left_semi"))
+    windowed = slices.windows_of(events, able)
     alerts = profile(windowed, "window_start", "mid").filter(is_alert(uids)).drop("clicked")
     return with_alert_id(_window_times(alerts, size))
 
@@ -183,15 +200,12 @@ def alert_members(
 ) -> DataFrame:
     """(alert_id, mid, ts, kind, value, n): who and what is behind each alert."""
     slices = _Slices(size, slide)
-    marked = alerts.select(
-        "alert_id", "mid", "ts", F.unix_seconds("window_start").alias("window_start")
-    )
-    places = marked.select(
-        slices.bucket_of(F.col("window_start")).alias("bucket"), "mid"
-    ).distinct()
-    bucketed = slices.bucketed(members(events)).join(places, ["bucket", "mid"], "left_semi")
+    start = F.unix_seconds("window_start")
+    marked = alerts.select("alert_id", "mid", "ts", start.alias("window_start"))
+    bucket = _down(F.col("window_start"), slices.bucket)
+    places = marked.select(bucket.alias("bucket"), "mid").distinct()
     return (
-        slices.windows(bucketed)
+        slices.windows_of(events, places)
         .join(marked, ["window_start", "mid"])
         .select("alert_id", "mid", "ts", "kind", "value", "n")
     )

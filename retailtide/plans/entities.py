@@ -127,6 +127,18 @@ def orders_of(
     return orders.filter(date.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
+def lines_of(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+    """The order lines; with ``day`` those of that day's orders.
+
+    Lines carry no day. The semi join cuts them before anything is added to them.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if day is None:
+        return lines
+    keys = orders_of(spark, sf_dir, day).select(F.col("o_orderkey").alias("l_orderkey"))
+    return lines.join(keys, "l_orderkey", "left_semi")
+
+
 def day_before(day: str) -> str:
     return str(dt.date.fromisoformat(day) - dt.timedelta(days=1))
 

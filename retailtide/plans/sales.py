@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import report, sales
 from ..operators.orders import enrich_orders
 from ..schemas import SALE_COLUMNS
-from .entities import AS_OF, order_detail, order_info, orders_of, table, user_info
+from .entities import AS_OF, lines_of, order_detail, order_info, orders_of, table, user_info
 from .orders import DETAILS_SQL, ORDERS_SQL, USERS_SQL
 
 DAY = "1998-05-07"
@@ -15,8 +15,8 @@ KEYWORD = "red"
 PAGE, PAGE_SIZE = 2, 3
 
 
-def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_detail(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+def _details(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+    return order_detail(lines_of(spark, sf_dir, day), table(spark, sf_dir, "part"))
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def _wide(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame
     exactly that day's lines.
     """
     orders = enrich_orders(order_info(orders_of(spark, sf_dir, day)))
-    details, users = _details(spark, sf_dir), _users(spark, sf_dir)
+    details, users = _details(spark, sf_dir, day), _users(spark, sf_dir)
     return sales.sale_lines(orders, details, users, AS_OF, columns=SALE_COLUMNS)
 
 

@@ -49,5 +49,4 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="retailtide-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
