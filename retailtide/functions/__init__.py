@@ -14,6 +14,7 @@ from .time import (
     stamp_arrival,
 )
 from .measure import age_band, money, one_decimal_percent
+from .plan import once
 
 __all__ = [
     "AGE_BANDS",
@@ -31,6 +32,7 @@ __all__ = [
     "mask_phone",
     "matches_all",
     "money",
+    "once",
     "one_decimal_percent",
     "previous_day",
     "price",

@@ -1,9 +1,10 @@
 """Coupon-abuse alerts: one device, several accounts, no item looked at.
 
 A sliding window of 300 s every 5 s holds each event 60 times. The batch form
-therefore counts per pane first and expands to windows only after the last
-shuffle of the counts; the alerts also drop every device that cannot reach the
-threshold before anything else is done with it.
+never makes those copies: it counts per pane, notes for each account, item and
+event in which run of windows it is, and turns the starts and ends of the runs
+into running totals per device. Only the windows of the answer are written out.
+The alerts also drop every device that cannot reach the threshold first.
 
 What a window holds of a device is kept in long form, one "member" row per
 distinct account, item and event type, so no device is ever gathered in one
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from math import ceil, gcd
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .latest import latest_by_key
 
@@ -48,7 +49,10 @@ def members(events: DataFrame, *keep: str) -> DataFrame:
 
 
 def profile(windowed: DataFrame, *keys: Column | str) -> DataFrame:
-    """Member rows of a window to one row per key: sizes of the sets and the flag."""
+    """Member rows of a window to one row per key: sizes of the sets and the flag.
+
+    The form for streams, where runs of windows cannot be looked back on.
+    """
     kind, value = F.col("kind"), F.col("value")
     return windowed.groupBy(*keys).agg(
         F.count_if(kind == "uid").alias("coupon_uids"),
@@ -100,39 +104,101 @@ class _Slices:
         reach = F.sequence(low, high, F.lit(self.bucket).cast("bigint"))
         return panes.withColumn("bucket", F.explode(reach))
 
+    def counts(self, events: DataFrame) -> DataFrame:
+        """(bucket, pane, member, n), the map side summing first.
+
+        ``events`` carry a pane, and a bucket if they were chosen by it.
+        """
+        keys = [name for name in ("bucket", "pane") if name in events.columns]
+        counted = members(events, *keys).groupBy(*keys, *MEMBER).agg(F.count("*").alias("n"))
+        return counted if "bucket" in keys else self.with_bucket(counted)
+
+    def of_devices(self, events: DataFrame, places: DataFrame) -> DataFrame:
+        """Events of the devices and buckets in ``places``."""
+        placed = self.with_bucket(self.with_pane(events))
+        return placed.join(places, ["bucket", "mid"], "left_semi")
+
+    def _reach(self) -> tuple[Column, Column]:
+        """First and last window start of a pane within its bucket."""
+        end = F.col("bucket") + (self.bucket - self.slide)
+        return F.greatest(self.first, F.col("bucket")), F.least(self.last, end)
+
+    def _starts(self, first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(first, last, F.lit(self.slide).cast("bigint")))
+
     def windows(self, counts: DataFrame) -> DataFrame:
-        """(bucket, pane, member, n) to (window_start, member, n)."""
-        starts = F.sequence(
-            F.greatest(self.first, F.col("bucket")),
-            F.least(self.last, F.col("bucket") + (self.bucket - self.slide)),
-            F.lit(self.slide).cast("bigint"),
-        )
+        """(window_start, member, n): every window's members, written out."""
         # The keys of this shuffle are among the keys of the grouping, so the
         # expanded rows are summed where they are.
         spread = counts.repartition("bucket", *MEMBER)
         return (
-            spread.select("bucket", *MEMBER, "n", F.explode(starts).alias("window_start"))
+            spread.select("bucket", *MEMBER, "n", self._starts(*self._reach()).alias("window_start"))
             .groupBy("bucket", "window_start", *MEMBER)
             .agg(F.sum("n").alias("n"))
             .select("window_start", *MEMBER, "n")
         )
 
-    def all_windows(self, events: DataFrame) -> DataFrame:
-        """Members of every window."""
-        placed = members(self.with_pane(events), "pane")
-        counts = placed.groupBy("pane", *MEMBER).agg(F.count("*").alias("n"))
-        return self.windows(self.with_bucket(counts))
-
-    def windows_of(self, events: DataFrame, places: DataFrame) -> DataFrame:
-        """Members of the windows in ``places``, rows of (bucket, mid)."""
-        placed = self.with_bucket(self.with_pane(events))
-        chosen = placed.join(places, ["bucket", "mid"], "left_semi")
-        counts = (
-            members(chosen, "bucket", "pane")
-            .groupBy("bucket", "pane", *MEMBER)
-            .agg(F.count("*").alias("n"))
+    def profiles(self, counts: DataFrame, keep: Column | None = None) -> DataFrame:
+        """(window_start, mid, coupon_uids, coupon_items, events, clicked).
+
+        ``keep`` is a test on a profile, applied before windows are written out.
+        """
+        first, last = self._reach()
+        # An account is counted in a window once, by its first pane there: a later
+        # pane adds only the windows the one before did not reach. At most twice
+        # a window's panes meet here.
+        member = Window.partitionBy("bucket", *MEMBER).orderBy("pane")
+        kind = F.col("kind")
+        begin = F.when(kind == "event", first).otherwise(
+            F.greatest(first, F.lag(last).over(member) + self.slide)
+        )
+        runs = counts.select(
+            "bucket", "mid", "kind", "value", "n", begin.alias("begin"), last.alias("last")
+        ).filter(F.col("begin") <= F.col("last"))
+
+        is_event, n = kind == "event", F.col("n")
+        clicks = F.when(is_event & (F.col("value") == CLICK), n).otherwise(0)
+        amounts = {
+            "coupon_uids": F.when(kind == "uid", 1).otherwise(0),
+            "coupon_items": F.when(kind == "item", 1).otherwise(0),
+            "events": F.when(is_event, n).otherwise(0),
+            "clicks": clicks,
+        }
+
+        def change(at: Column, sign: int) -> Column:
+            signed = [(value * sign).cast("bigint").alias(name) for name, value in amounts.items()]
+            return F.struct(at.alias("at"), *signed)
+
+        changes = runs.select(
+            "bucket",
+            "mid",
+            F.inline(F.array(change(F.col("begin"), 1), change(F.col("last") + self.slide, -1))),
+        )
+        # A bucket has a fixed number of window starts, so of changes per device.
+        steps = (
+            changes.filter(F.col("at") < F.col("bucket") + self.bucket)
+            .groupBy("bucket", "mid", "at")
+            .agg(*[F.sum(name).alias(name) for name in amounts])
+        )
+        device = Window.partitionBy("bucket", "mid").orderBy("at")
+        so_far = device.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        totals = steps.select(
+            "mid",
+            "at",
+            F.coalesce(F.lead("at").over(device), F.col("bucket") + self.bucket).alias("until"),
+            *[F.sum(name).over(so_far).alias(name) for name in amounts],
+        )
+        held = totals.filter(F.col("events") > 0).withColumn("clicked", F.col("clicks") > 0)
+        if keep is not None:
+            held = held.filter(keep)
+        return held.select(
+            self._starts(F.col("at"), F.col("until") - self.slide).alias("window_start"),
+            "mid",
+            "coupon_uids",
+            "coupon_items",
+            "events",
+            "clicked",
         )
-        return self.windows(counts)
 
 
 def _window_times(rows: DataFrame, size: int) -> DataFrame:
@@ -146,15 +212,16 @@ def device_profiles(
     events: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS
 ) -> DataFrame:
     """Every (window, device) with its counts and whether an item was clicked."""
-    windowed = _Slices(size, slide).all_windows(events)
-    return _window_times(profile(windowed, "window_start", "mid"), size)
+    slices = _Slices(size, slide)
+    return _window_times(slices.profiles(slices.counts(slices.with_pane(events))), size)
 
 
 def device_members(
     events: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS
 ) -> DataFrame:
     """The members behind :func:`device_profiles`, each with its count."""
-    return _window_times(_Slices(size, slide).all_windows(events), size)
+    slices = _Slices(size, slide)
+    return _window_times(slices.windows(slices.counts(slices.with_pane(events))), size)
 
 
 def coupon_alerts(
@@ -176,8 +243,8 @@ def coupon_alerts(
         .agg(F.count("*").alias("uids"))
         .filter(F.col("uids") >= uids)
     )
-    windowed = slices.windows_of(events, able)
-    alerts = profile(windowed, "window_start", "mid").filter(is_alert(uids)).drop("clicked")
+    counts = slices.counts(slices.of_devices(events, able))
+    alerts = slices.profiles(counts, keep=is_alert(uids)).drop("clicked")
     return with_alert_id(_window_times(alerts, size))
 
 
@@ -205,7 +272,7 @@ def alert_members(
     bucket = _down(F.col("window_start"), slices.bucket)
     places = marked.select(bucket.alias("bucket"), "mid").distinct()
     return (
-        slices.windows_of(events, places)
+        slices.windows(slices.counts(slices.of_devices(events, places)))
         .join(marked, ["window_start", "mid"])
         .select("alert_id", "mid", "ts", "kind", "value", "n")
     )

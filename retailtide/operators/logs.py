@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import event_time, log_date, stamp_arrival
+from ..functions import event_time, log_date, once, stamp_arrival
 
 
 def stamp(raw: DataFrame, arrival_ms: Column | None = None) -> DataFrame:
@@ -17,7 +17,8 @@ def stamp(raw: DataFrame, arrival_ms: Column | None = None) -> DataFrame:
     ms = stamp_arrival() if arrival_ms is None else arrival_ms
     others = F.map_filter(F.from_json("value", "map<string,variant>"), lambda key, _: key != "ts")
     stamped = F.map_concat(others, F.create_map(F.lit("ts"), ms.cast("variant")))
-    return raw.withColumn("ts", ms).withColumn("value", F.to_json(stamped))
+    rest = [name for name in raw.columns if name not in ("value", "ts")]
+    return raw.select(*rest, ms.alias("ts"), once(F.to_json(stamped)).alias("value"))
 
 
 def with_archive_day(stamped: DataFrame) -> DataFrame:

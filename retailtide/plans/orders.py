@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import age_years
 from ..operators import orders as ops, users
+from ..operators.latest import latest_by_key
 from .entities import (
     AS_OF,
     order_detail,
@@ -61,10 +62,8 @@ def user_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers repeat within an order: the last one to arrive stays."""
-    from ..operators.latest import latest_by_key
-
     details = order_detail(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
-    latest = latest_by_key(details, ["order_id", "line_number"], ["detail_ts", "id"])
+    latest = latest_by_key(details, ["order_id", "line_number"], ["detail_ts", "id", "order_price"])
     return latest.select("order_id", "line_number", "id", "sku_name", "order_price")
 
 
@@ -157,5 +156,6 @@ SELECT id, strftime(born, '%Y-%m-%d') AS birthday, age::INTEGER AS user_age FROM
 WITH {DETAILS_SQL}
 SELECT order_id, line_number, id, sku_name, order_price::VARCHAR AS order_price FROM det
 QUALIFY row_number() OVER (PARTITION BY order_id, line_number
-                           ORDER BY detail_s DESC, id DESC) = 1""",
+                           ORDER BY detail_s DESC, id DESC,
+                                    order_price::VARCHAR DESC) = 1""",
 }

@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions import once
 from ..schemas import CHANGE
 
-
-def _is_record(value: Column) -> Column:
-    # A record is a JSON object. Broken text gives a null here, and so do a bare
-    # number, a bare string and a list.
-    return F.coalesce(F.json_object_keys(value).isNotNull(), F.lit(False))
+BROKEN = "_broken"
+_NUMBERS = (T.LongType, T.IntegerType, T.DoubleType)
+
+
+def _parsed(raw: DataFrame, schema: T.StructType, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and the fields, with ``BROKEN`` true where the text is no JSON object."""
+    # Numbers are read as text first: "7" and 7 are the same to the senders.
+    fields = [
+        T.StructField(f.name, T.StringType()) if isinstance(f.dataType, _NUMBERS) else f
+        for f in schema.fields
+    ]
+    as_read = T.StructType([*fields, T.StructField(BROKEN, T.StringType())])
+    record = F.from_json("value", as_read, {"columnNameOfCorruptRecord": BROKEN})
+    opened = raw.select(*keep, once(record).alias("record"))
+    typed = [
+        F.col(f"record.{f.name}").try_cast(f.dataType).alias(f.name)
+        if isinstance(f.dataType, _NUMBERS)
+        else F.col(f"record.{f.name}")
+        for f in schema.fields
+    ]
+    # no record at all comes from a missing or an empty text
+    broken = F.col("record").isNull() | F.col(f"record.{BROKEN}").isNotNull()
+    return opened.select(*keep, broken.alias(BROKEN), *typed)
 
 
 def parse_records(raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -20,15 +39,13 @@ def parse_records(raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
     offset, an arrival time) to carry along. Text that is no JSON object is left
     out here and can be had from :func:`rejected_records`.
     """
-    parsed = raw.filter(_is_record(F.col("value"))).select(
-        *keep, F.from_json("value", schema).alias("record")
-    )
-    return parsed.select(*keep, "record.*")
+    return _parsed(raw, schema, keep).filter(~F.col(BROKEN)).drop(BROKEN)
 
 
-def rejected_records(raw: DataFrame) -> DataFrame:
+def rejected_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """The rows that :func:`parse_records` leaves out, for a quarantine folder."""
-    return raw.filter(~_is_record(F.col("value")))
+    names = tuple(raw.columns)
+    return _parsed(raw, schema, names).filter(F.col(BROKEN)).select(*names)
 
 
 def parse_changes(raw: DataFrame) -> DataFrame:

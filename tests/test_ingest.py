@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from retailtide.operators.changes import flatten_rows, route_changes
 from retailtide.operators.logs import route_logs, stamp, with_archive_day
 from retailtide.schemas import CHANGE, EVENT
@@ -17,10 +17,24 @@ def raw(spark, *texts):
 
 
 def test_parse(spark):
-    texts = raw(spark, '{"mid": 7, "uid": "u", "more": [1], "ts": 5}', '{"uid": "u"', "7", None)
+    good = ['{"mid": 7, "uid": "u", "more": [1], "ts": 5}', '{"mid": {"a": 1}, "ts": "6"}', "{}"]
+    bad = ['{"uid": "u"', "7", '"text"', '[{"uid": "u"}]', "", "  ", "no", None]
+    texts = raw(spark, *good, *bad)
     parsed = parse_records(texts, EVENT).select("mid", "uid", "evid", "ts")
-    assert rows(parsed) == [(None, "7", 5, "u")]
-    assert rejected_records(texts).count() == 3
+    assert rows(parsed) == [
+        # columns by name: evid, mid, ts, uid
+        (None, "7", 5, "u"),
+        (None, '{"a":1}', 6, None),
+        (None, None, None, None),
+    ]
+    rejected = [r["value"] for r in rejected_records(texts, EVENT).collect()]
+    assert sorted(map(str, rejected)) == sorted(map(str, bad))
+
+
+def test_a_text_is_parsed_once(spark):
+    records = parse_records(raw(spark, "{}"), EVENT)
+    used = records.filter((F.col("mid") == "m") & (F.col("uid") == "u") & (F.col("ts") > 1))
+    assert plan(used).count("from_json") == 1
 
 
 def test_route(spark):

@@ -28,8 +28,12 @@ def test_plan(name, spark, small_dir, no_broadcast):
     assert "CartesianProduct" not in text
     assert "NestedLoop" not in text
     assert "Python" not in text
-    # a window keeps at most one row per key and map task before its shuffle
-    assert len(re.findall(r"WindowGroupLimit .* Partial", text)) == len(re.findall(r"\bWindow \[", text))
+    # a ranking keeps at most one row per key and map task before its shuffle
+    ranked = re.findall(r"\bWindow \[row_number", text)
+    assert len(re.findall(r"WindowGroupLimit .* Partial", text)) == len(ranked)
+    # other windows work on a bucket of time, which holds a fixed number of rows
+    for keys in re.findall(r"\bWindow \[(?!row_number).*\], \[(.*?)\], \[", text):
+        assert keys.startswith("bucket#")
     # what meets in one task has been aggregated by the map side
     for child in re.findall(r"Exchange SinglePartition.*\n\W*(?:\(\d+\) )?(\w+)", text):
         assert child in ("HashAggregate", "SortAggregate", "ObjectHashAggregate", "Range")
