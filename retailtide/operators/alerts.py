@@ -265,16 +265,23 @@ def alert_members(
     size: int = WINDOW_SECONDS,
     slide: int = SLIDE_SECONDS,
 ) -> DataFrame:
-    """(alert_id, mid, ts, kind, value, n): who and what is behind each alert."""
+    """(alert_id, mid, ts, held, kind, value, n): who and what is behind each alert.
+
+    ``alerts`` are stored ones: they are used twice. ``held`` is the most members
+    that the alert can have.
+    """
     slices = _Slices(size, slide)
     start = F.unix_seconds("window_start")
-    marked = alerts.select("alert_id", "mid", "ts", start.alias("window_start"))
+    held = F.col("coupon_uids") + F.col("coupon_items") + F.col("events")
+    marked = alerts.select(
+        "alert_id", "mid", "ts", held.alias("held"), start.alias("window_start")
+    )
     bucket = _down(F.col("window_start"), slices.bucket)
     places = marked.select(bucket.alias("bucket"), "mid").distinct()
     return (
         slices.windows(slices.counts(slices.of_devices(events, places)))
         .join(marked, ["window_start", "mid"])
-        .select("alert_id", "mid", "ts", "kind", "value", "n")
+        .select("alert_id", "mid", "ts", "held", "kind", "value", "n")
     )
 
 
@@ -283,22 +290,20 @@ def alert_documents(alert_rows: DataFrame, part_size: int = 10_000) -> DataFrame
 
     (alert_id, part, mid, ts, uids, item_ids, events). Events come as (evid, n):
     their order is lost in any shuffle, and counts do not grow with the window.
-    An alert with more than ``part_size`` members is written as several parts, so
-    a row stays small and nothing is left out; others have the one part 0.
+    An alert that may have more than ``part_size`` members is spread over several
+    parts, so a row stays small and nothing is left out; others have the one
+    part 0.
     """
-    sizes = alert_rows.groupBy("alert_id").agg(
-        F.ceil(F.count("*") / F.lit(part_size)).alias("parts")
-    )
     kind, value = F.col("kind"), F.col("value")
-    part = F.pmod(F.xxhash64(kind, value), F.col("parts")).cast("int")
+    parts = F.ceil(F.col("held") / F.lit(part_size))
+    part = F.pmod(F.xxhash64(kind, value), parts).cast("int")
 
     def values(of: str) -> Column:
         return F.sort_array(F.collect_list(F.when(kind == of, value)))
 
     counted = F.struct(value.alias("evid"), F.col("n"))
     return (
-        alert_rows.join(sizes, "alert_id")
-        .groupBy("alert_id", part.alias("part"), "mid", "ts")
+        alert_rows.groupBy("alert_id", part.alias("part"), "mid", "ts")
         .agg(
             values("uid").alias("uids"),
             values("item").alias("item_ids"),

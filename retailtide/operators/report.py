@@ -93,10 +93,12 @@ def stat_rows(hits: DataFrame) -> DataFrame:
     return titled.select("total", "title", F.inline("options"))
 
 
-def report(lines: DataFrame, day: str, keyword: str, number: int, size: int) -> DataFrame:
-    """One row (total, stat, detail): the whole answer, ``detail`` being one page."""
-    hits = search(lines, day, keyword)
-    names = [name for name in lines.columns if name != "order_detail_id"]
+def report(hits: DataFrame, number: int, size: int) -> DataFrame:
+    """One row (total, stat, detail): the whole answer, ``detail`` being one page.
+
+    The hits are used twice: once for the numbers, once for the page.
+    """
+    names = [name for name in hits.columns if name != "order_detail_id"]
     rows = page(hits, number, size).agg(
         F.sort_array(F.collect_list(F.struct("order_detail_id", *names))).alias("detail")
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import alerts
+from ..session import stored
 from .entities import event_info, table
 
 HOUR = 3600
@@ -49,7 +50,8 @@ def coupon_alert_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coupon_alert_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, their lists as text."""
     events = _events(spark, sf_dir)
-    rows = alerts.alert_members(events, _alerts(spark, sf_dir), SIZE, SLIDE)
+    found = stored(_alerts(spark, sf_dir), "alerts")
+    rows = alerts.alert_members(events, found, SIZE, SLIDE)
 
     def joined(values: Column) -> Column:
         return F.array_join(values, ",")

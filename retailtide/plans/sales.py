@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import report, sales
 from ..operators.orders import enrich_orders
 from ..schemas import SALE_COLUMNS
+from ..session import stored
 from .entities import AS_OF, lines_of, order_detail, order_info, orders_of, table, user_info
 from .orders import DETAILS_SQL, ORDERS_SQL, USERS_SQL
 
@@ -97,7 +98,7 @@ def sale_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole answer, its lists as text."""
-    answer = report.report(_wide(spark, sf_dir, DAY), DAY, KEYWORD, 1, PAGE_SIZE)
+    answer = report.report(stored(_hits(spark, sf_dir), "hits"), 1, PAGE_SIZE)
     options = F.flatten(F.col("stat.options"))
     shown = F.transform(
         options, lambda o: F.concat(o["name"], F.lit("="), F.format_number(o["value"], 1))

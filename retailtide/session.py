@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Sizes of a particular cluster (executors,
 # memory, shuffle partitions) belong to spark-submit, not here.
@@ -50,3 +50,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="retailtide-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written once to a work folder and read back.
+
+    For a result used more than once: without it each use runs the whole plan
+    again, and a lost executor costs no more than its own tasks.
+    """
+    spark = frame.sparkSession
+    folder = work_folder(spark, name)
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)

@@ -225,7 +225,7 @@ def test_report(spark):
     assert [tuple(r) for r in report.gender_terms(hits).collect()] == [("M", 2), ("F", 1)]
     assert report.age_terms(hits).count() == 5
     assert tuple(report.gender_share(hits.limit(0)).first()) == (0, 0.0, 0.0)
-    answer = report.report(hits, "2019-08-18", "gear", 2, 2)
+    answer = report.report(report.search(hits, "2019-08-18", "gear"), 2, 2)
     whole = json.loads(report.as_json(answer).first()[0])
     assert whole["total"] == 5
     assert [s["title"] for s in whole["stat"]] == ["性别占比", "年龄段占比"]
@@ -234,7 +234,7 @@ def test_report(spark):
         {"name": "女", "value": 20.0},
     ]
     assert [d["order_detail_id"] for d in whole["detail"]] == ["002", "003"]
-    none = json.loads(report.as_json(report.report(hits, "2019-08-18", "", 1, 2)).first()[0])
+    none = json.loads(report.as_json(report.report(report.search(hits, "2019-08-18", ""), 1, 2)).first()[0])
     assert none["total"] == 0 and none["detail"] == []
 
 
