@@ -84,8 +84,9 @@ class Shop:
         return streaming.visit_stream(logs, self.visits, self.checkpoint("visits"))
 
     def job_orders(self):
-        orders = self.records("order").drop("arrived")
-        return streaming.order_stream(orders, self.orders, self.checkpoint("orders"))
+        orders = self.records("order")
+        checkpoint = self.checkpoint("orders")
+        return streaming.order_stream(orders, self.orders, checkpoint, ("arrived",))
 
     def job_users(self):
         feed = self.records("user_info")
@@ -95,7 +96,7 @@ class Shop:
         return streaming.sale_stream(
             self.records("order").withColumnRenamed("arrived", "order_ts"),
             self.records("order_detail").withColumnRenamed("arrived", "detail_ts"),
-            self.users.read,
+            streaming.users_in(self.users),
             self.sales,
             self.checkpoint("sales"),
         )

@@ -12,6 +12,8 @@ from .latest import latest_by_key
 # Fixed value: how long one side waits for the other, in seconds.
 JOIN_LIFE_SECONDS = 3600
 
+USER_COLUMNS = ("user_gender", "user_age", "user_level")
+
 
 def details_with_orders_full(details: DataFrame, orders: DataFrame) -> DataFrame:
     """Full outer join on the order id, ``order_id`` from whichever side has it.
@@ -42,8 +44,10 @@ def merge_order_and_detail(
     ``detail_ts``. Sides that never meet are not emitted. ``salts`` spreads the
     details of one order over that many tasks and copies the order to each; a
     batch join needs none, since the skew join splits a hot order at run time.
+    Buyer columns that the orders already have come along.
     """
     heads = orders.select(
+        *[name for name in USER_COLUMNS if name in orders.columns],
         F.col("id").alias("order_id"),
         "order_status",
         "create_time",
@@ -107,7 +111,10 @@ def sale_lines(
     seconds: int = JOIN_LIFE_SECONDS,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The wide sale table, one row per order detail."""
-    lines = latest_lines(merge_order_and_detail(orders, details, seconds))
-    wide = with_user(lines, users, as_of)
+    """The wide sale table, one row per order detail.
+
+    The buyer is looked up per order, before there is a row per detail.
+    """
+    heads = with_user(orders, users, as_of)
+    wide = latest_lines(merge_order_and_detail(heads, details, seconds))
     return wide.select(*columns) if columns else wide

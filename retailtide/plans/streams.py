@@ -131,7 +131,7 @@ def sale_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         streaming.sale_stream(
             order_info(_stream(spark, sf_dir, "orders")),
             order_detail(_stream(spark, sf_dir, "lineitem"), parts),
-            lambda session: user_info(table(session, sf_dir, "customer")),
+            lambda ids: user_info(table(spark, sf_dir, "customer")).join(ids, "id", "left_semi"),
             lines,
             f"{work}/checkpoint",
             delay=ANY_DELAY,

@@ -10,6 +10,7 @@ from .jobs import (
     sale_table,
     user_stream,
     user_table,
+    users_in,
     visit_stream,
     visit_table,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "sale_table",
     "user_stream",
     "user_table",
+    "users_in",
     "visit_stream",
     "visit_table",
 ]

@@ -70,7 +70,11 @@ def test_a_filter_on_the_day_prunes_the_visit_table(spark, small_dir, tmp_path):
     logs = first_visits(ent.startup_log(ent.table(spark, small_dir, "events")), ["event_id"])
     visits.upsert(logs, 0)
     one = visits.read(spark).filter(F.col("log_date") == F.lit("2024-01-15").cast("date"))
-    assert re.search(r"PartitionFilters: \[[^]]*\(log_date#\d+ = 2024", plan(one))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        assert re.search(r"PartitionFilters: \[[^]]*\(log_date#\d+ = 2024-01-15\)", plan(one))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert one.count() == 11
 
 
@@ -202,6 +206,17 @@ def test_orders_and_users(spark, small_dir, tmp_path):
     assert [r["user_level"] for r in users.read(spark).collect()] == ["7"]
 
 
+def test_only_the_buyers_of_a_batch_are_read(spark, tmp_path):
+    users = streaming.user_table(str(tmp_path / "users"))
+    feed = spark.createDataFrame(
+        [(i, "n", "1", "2000-01-01", "M") for i in "abc"],
+        "id string, login_name string, user_level string, birthday string, gender string",
+    )
+    users.upsert(feed, 0)
+    wanted = spark.createDataFrame([("a",), ("z",), (None,)], "id string")
+    assert [r["id"] for r in streaming.users_in(users)(wanted).collect()] == ["a"]
+
+
 # ---- keyed tables --------------------------------------------------------
 
 PAIR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
