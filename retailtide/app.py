@@ -113,7 +113,8 @@ class Shop:
 
     def answer_hours(self) -> DataFrame | None:
         visits, orders = self.visits.read(self.spark), self.orders.read(self.spark)
-        return dashboard.compare_hours(self.args.metric, visits, orders, self.args.date)
+        compared = dashboard.compare_hours(self.args.metric, visits, orders, self.args.date)
+        return None if compared is None else dashboard.hour_maps(compared)
 
     def answer_sales(self) -> DataFrame:
         lines = self.sales.read(self.spark)
@@ -162,7 +163,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
             streaming.every(writer).awaitTermination()
         return []
     rows = getattr(shop, f"answer_{args.what}")()
-    # an answer has a row per metric, per hour or one in all
+    # an answer has a row per metric or one in all
     lines = [] if rows is None else [row[0] for row in report.as_json(rows).collect()]
     print("\n".join(lines))
     return lines

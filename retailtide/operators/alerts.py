@@ -28,6 +28,9 @@ CLICK = "clickItem"
 
 MEMBER = ["mid", "kind", "value"]
 
+# Tasks that share one device's raw events of a bucket.
+DEVICE_SALTS = 16
+
 
 def members(events: DataFrame, *keep: str) -> DataFrame:
     """Long form: each event's type, and a coupon's account and item.
@@ -114,9 +117,16 @@ class _Slices:
         return counted if "bucket" in keys else self.with_bucket(counted)
 
     def of_devices(self, events: DataFrame, places: DataFrame) -> DataFrame:
-        """Events of the devices and buckets in ``places``."""
-        placed = self.with_bucket(self.with_pane(events))
-        return placed.join(places, ["bucket", "mid"], "left_semi")
+        """Events of the devices and buckets in ``places``.
+
+        These are raw events, and one device may send most of them: the salt
+        spreads a device over several tasks, each with its copy of ``places``.
+        """
+        spread = F.pmod(F.xxhash64("event_ts", "uid", "itemid"), F.lit(DEVICE_SALTS)).cast("int")
+        placed = self.with_bucket(self.with_pane(events)).withColumn("salt", spread)
+        salts = F.explode(F.array(*map(F.lit, range(DEVICE_SALTS))))
+        chosen = placed.join(places.withColumn("salt", salts), ["bucket", "mid", "salt"], "left_semi")
+        return chosen.drop("salt")
 
     def _reach(self) -> tuple[Column, Column]:
         """First and last window start of a pane within its bucket."""

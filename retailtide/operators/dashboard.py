@@ -57,6 +57,16 @@ def compare_hours(metric: str, visits: DataFrame, orders: DataFrame, day: str) -
     return None
 
 
+def hour_maps(compared: DataFrame) -> DataFrame:
+    """The 24 rows of a comparison as one row of two maps, hour to value."""
+
+    def by_hour(series: str) -> Column:
+        pairs = F.sort_array(F.collect_list(F.struct("hour", series)))
+        return F.map_from_entries(pairs).alias(series)
+
+    return compared.agg(by_hour("today"), by_hour("yesterday"))
+
+
 def day_totals(visits: DataFrame, orders: DataFrame, day: str) -> DataFrame:
     """(id, name, value): visitors, new devices and sales of a day."""
     date = F.lit(day).cast("date")

@@ -81,10 +81,11 @@ def test_shop(spark, tmp_path):
 
     totals = {t["id"]: t["value"] for t in answer("total", "--date", "2019-08-18")}
     assert totals == {"dau": 1.0, "new_mid": 1.0, "order_amount": 12.5}
-    hours = {h["hour"]: h for h in answer("hours", "--date", "2019-08-18")}
-    assert hours["00"]["today"] == 1 and hours["23"]["yesterday"] == 1 and len(hours) == 24
-    amounts = answer("hours", "--date", "2019-08-18", "--metric", "order_amount")
-    assert sum(h["today"] for h in amounts) == 12.5
+    (hours,) = answer("hours", "--date", "2019-08-18")
+    assert hours["today"]["00"] == 1 and hours["yesterday"]["23"] == 1
+    assert list(hours["today"]) == [f"{h:02}" for h in range(24)]
+    (amounts,) = answer("hours", "--date", "2019-08-18", "--metric", "order_amount")
+    assert sum(amounts["today"].values()) == 12.5
     assert answer("hours", "--date", "2019-08-18", "--metric", "other") == []
 
     (found,) = answer("sales", "--date", "2019-08-18", "--keyword", "gear", "--size", "1")
