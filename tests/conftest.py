@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "retailtide-tests",
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
