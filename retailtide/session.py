@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,17 +40,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session may go without that setting: there the driver and the
-    executors are one process, so a temporary folder is shared by definition.
+    Where that is unset, the session's warehouse, shared by definition, holds it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="retailtide-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a work folder that no plan reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once to a work folder and read back.
 
