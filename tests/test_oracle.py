@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from helpers import ordered, rows
+from retailtide.plans.registry import all_oracles, all_queries
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def duck(sf_dir):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
