@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import lines, packing, quality, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,8 +21,70 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id", "n_links")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each piece of each document in sequences of 2048 tokens."""
+    return packing.packed(_read(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document, by a classifier that learns from two thirds of the labels."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.classifier(docs, _read(spark, sf_dir, "labels"))
+    return _judged(quality.scored(docs, model, keep=["doc_id"]), "quality_score", quality.held_out("doc_id", 3, 1), 0.5)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, by a classifier that learns from three quarters of the labels."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.classifier(docs, _read(spark, sf_dir, "labels"))
+    return _judged(toxicity.scored(docs, model, keep=["doc_id"]), "toxicity_score", quality.held_out("doc_id", 4, 2), 0.3)
+
+
+def _judged(scored: DataFrame, score: str, held_out: Column, threshold: float) -> DataFrame:
+    predicted = (F.col(score) >= threshold).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), predicted.alias("predicted"))
+
+
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of each document without its repeated lines."""
+    found = lines.with_bitmaps(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = lines.kept_text(F.col("text"), F.col("keep_runs"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"), "keep_runs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
+    "op9_lines": op9_lines,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE: dict[str, str] = {
+    "op9_lines": f"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+    SELECT doc_id, len(lines) AS n_lines, pos, lines[pos] AS line,
+           translate(trim(lines[pos], {_BLANKS}), '{_UPPER}', '{_UPPER.lower()}') AS key
+    FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos FROM split)
+), frequent AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT l.*, f.key IS NOT NULL AND l.doc_id <> f.keeper AS dropped
+    FROM lines l LEFT JOIN frequent f ON l.key = f.key
+), flips AS (
+    SELECT *, dropped <> coalesce(lag(dropped) OVER (PARTITION BY doc_id ORDER BY pos), false) AS flip FROM judged
+), ends AS (
+    SELECT doc_id, list(pos - 1 ORDER BY pos) AS ends FROM flips WHERE flip GROUP BY doc_id
+)
+SELECT j.doc_id, max(j.n_lines)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256,
+       list_concat(coalesce(any_value(e.ends), []), [max(j.n_lines)])::INTEGER[] AS keep_runs
+FROM judged j LEFT JOIN ends e ON j.doc_id = e.doc_id GROUP BY j.doc_id
+""",
+}
