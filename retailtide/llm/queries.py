@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, quality, simhash, toxicity
+from . import decontam, lines, packing, quality, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.scored(docs, model, keep=["doc_id"]), "toxicity_score", quality.held_out("doc_id", 4, 2), 0.3)
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document, with edits and place."""
+    return decontam.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for each hundredth vector."""
+    return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def _judged(scored: DataFrame, score: str, held_out: Column, threshold: float) -> DataFrame:
     predicted = (F.col(score) >= threshold).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), predicted.alias("predicted"))
@@ -57,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_decontam": op7_decontam,
+    "op8_topk": op8_topk,
     "op9_lines": op9_lines,
 }
 
@@ -64,6 +76,17 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE: dict[str, str] = {
+    "op8_topk": """
+WITH vectors AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND list_bool_and([x IS NOT NULL AND isfinite(coalesce(x, 0)) FOR x IN embedding])
+)
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INTEGER AS rank,
+       c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+QUALIFY rank <= 10
+""",
     "op9_lines": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

@@ -107,7 +107,9 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
     while True:
         keyed = keyed.select("fingerprint", "m.kept", "m.wild", (F.col("fingerprint").bitwiseAND(F.col("m.kept"))).alias("value"))
         shared = stored(keyed.groupBy("kept", "value").count().filter("count > 1"), "simhash-keys")
-        meeting = keyed.join(shared.filter(F.col("count") <= crowd).select("kept", "value"), ["kept", "value"])
+        # a shuffle at every size: the keys grow with the table
+        few = shared.filter(F.col("count") <= crowd).select("kept", "value")
+        meeting = keyed.join(few.hint("merge"), ["kept", "value"])
         meeting = stored(meeting, "simhash-meeting")
         left, right = meeting.alias("l"), meeting.alias("r")
         differ = F.col("l.fingerprint").bitwiseXOR(F.col("r.fingerprint"))
