@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, packing, quality, simhash, topk, toxicity
+from . import decontam, licenses, lines, packing, quality, secrets, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _is(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: counts and digest of the fixed patterns, and all spans."""
+    found = secrets.scan(_read(spark, sf_dir, "documents"))
+    order = F.create_map(*[x for i, kind in enumerate(secrets.KINDS) for x in (F.lit(kind), F.lit(i))])
+
+    def text(spans: Column) -> Column:
+        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("a"), order[s["kind"]].alias("o"), s["end"].alias("b"), s["kind"].alias("k"))))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["k"], s["a"], s["b"])), ",")
+
+    random = F.transform("random", lambda s: F.struct(F.lit("random").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    kinds = F.transform("fixed", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _is(kind))).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
+    base = F.sha2(text(F.col("fixed")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, text(F.concat("fixed", random)).alias("spans"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     found = simhash.near_copies(_read(spark, sf_dir, "documents"))
@@ -21,6 +41,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id", "n_links")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of each document, with coverage and span."""
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each piece of each document in sequences of 2048 tokens."""
     return packing.packed(_read(spark, sf_dir, "documents"), with_ids=False)
@@ -63,7 +88,9 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
+    "op3_licenses": op3_licenses,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
