@@ -5,10 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from retailtide.llm import decontam, lines, packing, quality, simhash
 from retailtide.session import work_folder
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = quality.classifier(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.scored(docs, model, score_col="_score")
+    return scored.filter("_score >= 0.5").select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that five or more share; the last of these keeps its own.
+
+    ``n_chars`` follows the text; a document may be left empty, none goes.
+    """
+    found = lines.with_bitmaps(docs)
+    changed = F.col("n_dropped") > 0
+    text = F.when(changed, lines.kept_text(F.col("text"), F.col("keep_runs"))).otherwise(F.col("text"))
+    cut = found.withColumn("text", text)
+    n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id."""
+    return simhash.one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in sequences of 2048 tokens."""
+    return packing.packed(docs, with_ids=False)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good),
+    ("lines", without_repeated_lines),
+    ("near_copies", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", sequences),
+]
 
 #: Classifiers, near copies and token packing are beyond SQL; the tests hold the
 #: whole run against plain Python instead.

@@ -198,3 +198,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # a hot class meets its one label row here; the skew join may split it
     return prints.join(stored(labels, "simhash-labels"), "fingerprint").select(id_col, "fingerprint", "component_id", "n_links")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id.
+
+    A null id comes after all others; of rows with one id, that of the smallest text hash
+    stays, and of equal rows one. Columns stay as they are.
+    """
+    text_hash = F.xxhash64(F.coalesce(text_col, F.lit("")))
+    named = docs.withColumn("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_hash.alias("text_hash")))
+    found = near_copies(named.select("_row", text_col), "_row", text_col, words, max_bits)
+    gone = found.filter("_row <> component_id").select(F.col("_row").alias("_gone")).distinct()
+    # by the whole key, so that neither side can pile up on null ids
+    kept = named.join(gone, named["_row"] == gone["_gone"], "left_anti")
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)
