@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, lines, packing, quality, secrets, simhash, topk, toxicity
+from . import decontam, licenses, lines, lm, packing, quality, secrets, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +75,11 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of each document by the counts of all."""
+    return lm.scores(_read(spark, sf_dir, "documents"))
+
+
 def _judged(scored: DataFrame, score: str, held_out: Column, threshold: float) -> DataFrame:
     predicted = (F.col(score) >= threshold).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), predicted.alias("predicted"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontam": op7_decontam,
     "op8_topk": op8_topk,
     "op9_lines": op9_lines,
+    "op10_lm": op10_lm,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
