@@ -22,7 +22,7 @@ from .batches import map_batches, text_slices
 
 BITS = 64
 #: A key under which more fingerprints lie is divided by further bits before any
-#: two are compared. Results are the same for every value of at least 1024.
+#: two are compared. Results are the same for every value of at least 64.
 CROWD = 1024
 
 _HASH = partial(xxhash.xxh64_intdigest, seed=42)
@@ -92,9 +92,8 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
 
     ``prints`` has one distinct ``fingerprint`` a row and is read several times, so
     it should be a stored table. Keys that hold more than ``crowd`` fingerprints are
-    divided: the bits not yet in the key are cut in the same way. At the third level
-    a key leaves too few bits for a crowd, so no pair is lost and no large group is
-    ever compared.
+    divided: the bits not yet in the key are cut in the same way, until a key leaves
+    too few bits for a crowd. So no pair is lost and no large group is ever compared.
     """
     spark = prints.sparkSession
     parts = max_bits // 2 + 1
@@ -122,7 +121,7 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
         if not hot.take(1):
             return found.distinct()
         # the next level: each key continued by the keys over its free bits
-        children = {(kept, kept | more) for kept in level for more, _ in _cut(everything & ~kept, 2)}
+        children = {(kept, kept | more) for kept in level for more, _ in _cut(everything & ~kept, parts)}
         level = {more for _, more in children}
         table = spark.createDataFrame([(_signed(a), _signed(b), 0) for a, b in sorted(children)], "kept bigint, next bigint, wild bigint")
         crowded = keyed.select("fingerprint", "kept", "value").join(hot, ["kept", "value"]).select("fingerprint", "kept")
