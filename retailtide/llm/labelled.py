@@ -25,4 +25,5 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, parts: int, held_
     scale = 1 << 20
     share = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(scale, -(-most // 2 * scale // n)))]) if counts else F.lit(None)
     taken = known.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(scale)) < F.try_element_at(share, F.col("label"))) if counts else known
-    return docs.select("doc_id", "text").join(taken, "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    # ``most`` bounds what is broadcast
+    return docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", F.col("label").cast("int").alias("label"))
