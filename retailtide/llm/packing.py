@@ -68,7 +68,7 @@ class WordIds:
         tokenize = self.tokenizer.model.tokenize
         for word in words:
             core = word.rstrip(string.punctuation)
-            if core.isalpha() and (core.isascii() or core == core.lower() and unicodedata.is_normalized("NFC", core)):
+            if core.isalpha() and core == core.lower() and unicodedata.is_normalized("NFC", core):
                 sign = word[len(core) :]
                 if sign not in self.signs:
                     if len(self.signs) > 10_000:

@@ -24,7 +24,8 @@ BUCKETS = 1 << 16
 #: Labelled rows that a model is trained on, at most; half of each label.
 MOST_ROWS = 4000
 DIMENSIONS = 8
-EPOCHS = 8
+#: Passes over the sample, and steps in all at least, for small samples.
+EPOCHS, LEAST_STEPS = 8, 20_000
 RATE = 0.5
 #: Bytes of the character n-grams.
 NGRAMS = (2, 3, 4)
@@ -87,6 +88,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7, epochs:
     vectors = draw.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     top = np.zeros((DIMENSIONS, 2))
     bias = np.zeros(2)
+    epochs = max(epochs, -(-LEAST_STEPS // len(rows)))
     steps, step = epochs * len(rows), 0
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):

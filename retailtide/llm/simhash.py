@@ -99,7 +99,6 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
     parts = max_bits // 2 + 1
     everything = (1 << BITS) - 1
     keys = _cut(everything, parts)
-    level = {kept for kept, _ in keys}
     items = ", ".join(f"named_struct('kept', {_signed(kept)}L, 'wild', {_signed(wild)}L)" for kept, wild in keys)
     keyed = prints.select("fingerprint", F.explode(F.expr(f"array({items})")).alias("m"))
     found = None
@@ -118,12 +117,12 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
         pairs = left.join(right, same_key & once & near).select(F.col("l.fingerprint").alias("a"), F.col("r.fingerprint").alias("b"))
         found = pairs if found is None else found.union(pairs)
         hot = shared.filter(F.col("count") > crowd).select("kept", "value")
-        if not hot.take(1):
+        masks = [row["kept"] for row in hot.select("kept").distinct().collect()]  # of a fixed, small set
+        if not masks:
             return found.distinct()
-        # the next level: each key continued by the keys over its free bits
-        children = {(kept, kept | more) for kept in level for more, _ in _cut(everything & ~kept, parts)}
-        level = {more for _, more in children}
-        table = spark.createDataFrame([(_signed(a), _signed(b), 0) for a, b in sorted(children)], "kept bigint, next bigint, wild bigint")
+        # the next level: each crowded key continued by the keys over its free bits
+        children = [(kept, kept | _signed(more), 0) for kept in masks for more, _ in _cut(everything & ~kept, parts)]
+        table = spark.createDataFrame(children, "kept bigint, next bigint, wild bigint")
         crowded = keyed.select("fingerprint", "kept", "value").join(hot, ["kept", "value"]).select("fingerprint", "kept")
         keyed = crowded.join(table, "kept").select("fingerprint", F.struct(F.col("next").alias("kept"), "wild").alias("m"))
 

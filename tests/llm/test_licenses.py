@@ -1,0 +1,69 @@
+"""License scan: notices planted in prose, with edits, and alignments against an exhaustive search."""
+
+import random
+
+import numpy as np
+
+from retailtide.llm import licenses
+from retailtide.llm.queries import QUERIES
+
+MIT = licenses.TEMPLATES["MIT grant"]
+
+
+def test_given_documents_match_a_plain_search(spark, small_dir, given):
+    found = {(r["doc_id"], r["license"]) for r in QUERIES["op3_licenses"](spark, small_dir).collect()}
+    short = {k: v for k, v in licenses.TEMPLATES.items() if len(v) < 80}
+    assert found == {(r["doc_id"], name) for r in given.collect() for name, text in short.items() if text in r["text"]}
+    assert found
+
+
+def test_edited_notice_and_its_span(spark, documents):
+    draw = random.Random(2)
+    prose = ["lorem", "ipsum", "dolor", "sit", "amet", "é"]
+    words = MIT.split()
+    for place in (10, 30, 50):
+        words[place] = "CHANGED"
+    del words[20]
+    before = " ".join(draw.choice(prose) for _ in range(200))
+    rows = documents((1, f"{before} {' '.join(words)} {before}"), (2, " ".join(MIT.split()[:30])), (3, f"{MIT}\n{MIT.upper()}"))
+    found = licenses.scan(rows).collect()
+    edited = [r for r in found if r["doc_id"] == 1]
+    assert [(r["license"], r["start"]) for r in edited] == [("MIT grant", len(before) + 1)]
+    assert edited[0]["end"] == len(before) + 1 + len(" ".join(words)) and 0.9 < edited[0]["coverage"] < 1
+    assert not [r for r in found if r["doc_id"] == 2]  # a third of the grant
+    assert [r["coverage"] for r in found if r["doc_id"] == 3] == [1.0, 1.0]
+
+
+def test_alignment_is_the_best_one():
+    def plain(a, b):
+        best, table = 0, np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = max(0, table[i, j] + (1 if a[i] == b[j] else -1), table[i, j + 1] - 1, table[i + 1, j] - 1)
+                best = max(best, table[i + 1, j + 1])
+        return best
+
+    draw = np.random.default_rng(3)
+    for _ in range(60):
+        a, b = (draw.integers(0, 4, draw.integers(1, 12)).astype(np.uint64) for _ in range(2))
+        matched, t0, t1, d0, d1 = licenses.align(a, b, -12, 12)
+        score = matched - (t1 - t0 - matched) - max(0, (d1 - d0) - (t1 - t0))
+        assert matched <= min(t1 - t0, d1 - d0) and score <= plain(a, b)
+        assert matched >= plain(a, b)
+
+
+def test_winnowing_keeps_one_of_each_window():
+    hashes = np.array([5, 3, 9, 9, 1, 7], dtype=np.uint64)
+    kept = licenses.winnow(hashes, 3).tolist()
+    assert kept == [1, 4] or all(set(range(i, i + 3)) & set(kept) for i in range(4))
+    assert licenses.winnow(hashes[:0]).tolist() == []
+
+
+def test_edge_rows(documents):
+    notice = licenses.TEMPLATES["MIT"]
+    rows = documents((None, notice), (1, None), (2, ""), (3, notice), (3, notice), (4, "word " * 100_000 + notice))
+    clash = rows.withColumn("license", rows["lang"]).withColumn("start", rows["lang"])
+    found = licenses.scan(clash).collect()
+    assert sorted((str(r["doc_id"]), r["start"]) for r in found) == [("3", 0), ("3", 0), ("4", 500_000), ("None", 0)]
+    assert licenses.scan(documents()).collect() == []
+    assert licenses.scan(rows, templates={"short": "two words", "none": ""}).collect() == []

@@ -1,0 +1,82 @@
+"""Line dedup: contract cases against plain Python, bitmaps, and a plan without Python."""
+
+import hashlib
+from collections import defaultdict
+
+from helpers import plan
+from pyspark.sql import functions as F
+
+from retailtide.llm import lines
+from retailtide.llm.queries import op9_lines
+
+
+def key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\v\f\r"))
+
+
+def plain(rows, chars=40, docs=5):
+    """(id, text) rows -> (id, n_lines, n_dropped, kept text), for ids without null."""
+    holders = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, text in rows:
+        own = (text or "").split("\n")
+        kept = [x for x in own if len(key(x)) < chars or len(holders[key(x)]) < docs or max(holders[key(x)]) == i]
+        out.append((i, len(own), len(own) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+def found(frame):
+    out = lines.with_bitmaps(frame).withColumn("kept", lines.kept_text(F.col("text"), F.col("keep_runs")))
+    return sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept"]) for r in out.collect())
+
+
+LONG = "x" * 37 + "äöü"
+ROWS = [
+    (1, f"{LONG}\nshort\n {LONG.upper().replace('ÄÖÜ', 'äöü')}\t"),
+    (2, f"a\n{LONG}\nb"),
+    (3, f"{LONG}"),
+    (4, f"{LONG}\n\n{LONG}"),
+    (9, f"{LONG}\n{LONG}\nlast one keeps"),
+    (5, "\n".join(["y" * 40] * 6)),
+    (6, "y" * 40),
+    (7, "z" * 39 + "\n" + "z" * 39 + " "),
+    (8, ""),
+    (10, "tail\n"),
+    (11, f"one\n{LONG}\ntwo\n{LONG}\n{LONG}\nthree"),
+]
+
+
+def test_contract_cases(documents):
+    assert found(documents(*ROWS)) == plain(ROWS)
+
+
+def test_given_documents(spark, small_dir, given):
+    rows = [(r["doc_id"], r["text"]) for r in given.collect()]
+    wanted = {i: (n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in plain(rows)}
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in op9_lines(spark, small_dir).collect()}
+    assert got == wanted and any(d for _, d, _ in wanted.values())
+
+
+def test_bitmap_is_where_runs_end(documents):
+    got = {r["doc_id"]: r["keep_runs"] for r in lines.with_bitmaps(documents(*ROWS, (12, LONG))).collect()}
+    assert got[11] == [1, 2, 3, 5, 6] and got[3] == [0, 1] and got[8] == [1] == got[12] and got[9] == [0, 2, 3] and got[4] == [0, 1, 2, 3]
+
+
+def test_edge_rows(documents):
+    rows = [(i, LONG) for i in range(4)] + [(None, LONG), (None, LONG), (20, None), (21, LONG), (21, LONG), (21, "other\n" + LONG)]
+    clash = documents(*rows).withColumn("n_lines", F.col("text")).withColumn("h1", F.col("text")).withColumn("doc", F.col("text"))
+    got = sorted(((str(r["doc_id"]), r["n_lines"], r["n_dropped"]) for r in lines.with_bitmaps(clash).collect()))
+    want = [(str(i), 1, 1) for i in range(4)] + [("None", 1, 1)] * 2 + [("20", 1, 0), ("21", 1, 0), ("21", 1, 0), ("21", 2, 0)]
+    assert got == sorted(want)
+    assert lines.with_bitmaps(documents()).count() == 0
+    many = "\n".join(f"{n:050d}" for n in range(20_000))
+    assert found(documents(*[(i, many) for i in range(5)])) == plain([(i, many) for i in range(5)])
+
+
+def test_no_python_and_no_cross_join(spark, small_dir):
+    text = plan(op9_lines(spark, small_dir))
+    assert not any(word in text for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoop"))

@@ -1,0 +1,82 @@
+"""The pipeline: each stage against plain Python on its own input, and the driver's contract."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from test_lines import plain as plain_lines
+from test_packing import check_places, plain_ids
+from test_simhash import plain_components, plain_fingerprint
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from retailtide.llm.batches import word_hashes
+from retailtide.llm.queries import ORACLE, QUERIES
+
+
+@pytest.fixture(scope="module")
+def stages(spark, small_dir, tmp_path_factory):
+    """Rows of the documents and of the result of each stage."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    seen = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, seen[-1], small_dir).write.parquet(f"{folder}/{name}")
+        seen.append(spark.read.parquet(f"{folder}/{name}"))
+    assert all(frame.columns == docs.columns for frame in seen[:-1])
+    return [{r["doc_id"]: r for r in frame.collect()} for frame in seen[:-1]] + [seen[-1].collect()]
+
+
+def test_quality_rejects_the_bad_alone(spark, small_dir, stages):
+    before, after = stages[0], stages[1]
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{small_dir}/labels.parquet").collect()}
+    assert all(after[i] == before[i] for i in after)
+    learnt = [i for i in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert np.mean([(i in after) == bool(labels[i]) for i in learnt]) >= 0.95
+    assert np.mean([i in after for i in labels if labels[i]]) >= 0.95
+
+
+def test_lines(stages):
+    want = {i: text for i, _, _, text in plain_lines([(i, r["text"]) for i, r in stages[1].items()])}
+    assert {i: r["text"] for i, r in stages[2].items()} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in stages[2].values())
+
+
+def test_near_copies(stages):
+    groups = plain_components([(i, plain_fingerprint(r["text"])) for i, r in stages[2].items()])
+    assert set(stages[3]) == set(groups.values()) and len(stages[3]) < len(stages[2])
+
+
+def test_decontamination(spark, small_dir, stages):
+    items = [str(word_hashes(r["text"]).tolist())[1:-1] for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()]
+    leaking = {i for i, r in stages[3].items() if any(x in str(word_hashes(r["text"]).tolist()) for x in items)}
+    gone = set(stages[3]) - set(stages[4])
+    assert leaking and leaking <= gone and len(gone) <= len(leaking) + 2
+
+
+def test_packing(stages):
+    tokens = Counter()
+    for r in stages[5]:
+        tokens[r["doc_id"]] += r["length"]
+    assert tokens == {i: len(plain_ids(r["text"])) + 1 for i, r in stages[4].items()}
+    check_places([(r["sequence_id"], r["offset"], r["length"]) for r in stages[5]], 2048)
+
+
+def test_run_applies_all_stages(spark, small_dir, stages):
+    found = corpus_pipeline.run(spark, small_dir).collect()
+    assert sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in found) == sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in stages[5])
+
+
+def test_entry_registers_all():
+    names = set(entry.queries())
+    assert set(QUERIES) | {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= names
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
+def test_stages_take_empty_tables_and_nulls(spark, documents, small_dir, stage):
+    assert stage(spark, documents(), small_dir).count() == 0
+    rows = documents((None, None), (None, "x y z"), (1, ""), (2, None), (2, None))
+    found = stage(spark, rows.withColumn("extra", rows["lang"]), small_dir)
+    assert found.count() > 0
