@@ -27,9 +27,11 @@ from retailtide.operators.visits import with_log_time  # noqa: E402
 from retailtide.schemas import TOPICS  # noqa: E402
 from retailtide.session import build_session, stored, use_utc  # noqa: E402
 from retailtide.sinks import archive_by_day, routed_files, routed_topics  # noqa: E402
-from retailtide.sources import file_stream, kafka_topic, parse_records  # noqa: E402
+from retailtide.sources import file_stream, kafka_topic, parse_records, quarantined  # noqa: E402
 
 RAW_LOGS, RAW_CHANGES = "raw_log", "raw_change"
+#: What orders the records of a topic.
+VERSION = ("arrived", "offset")
 TEXT = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -50,14 +52,24 @@ class Shop:
         return f"{shared.rstrip('/')}/{job}"
 
     def raw(self, topic: str) -> DataFrame:
-        """(value, arrived) of a topic."""
+        """(value, arrived, offset) of a topic; the last two order its records."""
         if self.args.brokers:
-            return kafka_topic(self.spark, self.args.brokers, self.args.prefix + topic)
-        lines = file_stream(self.spark, f"{self.args.folder}/{topic}", TEXT, "text")
-        return lines.withColumn("arrived", F.current_timestamp())
+            return kafka_topic(
+                self.spark,
+                self.args.brokers,
+                self.args.prefix + topic,
+                starting=self.args.starting,
+                max_per_trigger=self.args.rate,
+            )
+        folder = f"{self.args.folder.rstrip('/')}/{topic}"
+        lines = file_stream(self.spark, folder, TEXT, "text", self.args.rate)
+        # the file's time, then what the records themselves say
+        version = F.get_json_object("value", f"$.{self.args.version}").try_cast("bigint")
+        arrived = F.col("_metadata.file_modification_time").alias("arrived")
+        return lines.select("value", arrived, version.alias("offset"))
 
     def records(self, topic: str) -> DataFrame:
-        return parse_records(self.raw(topic), TOPICS[topic], keep=("arrived",))
+        return parse_records(self.raw(topic), TOPICS[topic], keep=VERSION)
 
     def routed(self, rows: DataFrame, job: str):
         if self.args.brokers:
@@ -81,16 +93,16 @@ class Shop:
 
     def job_visits(self):
         logs = with_log_time(self.records("startup"))
-        return streaming.visit_stream(logs, self.visits, self.checkpoint("visits"))
+        return streaming.visit_stream(logs, self.visits, self.checkpoint("visits"), tie_break=VERSION)
 
     def job_orders(self):
         orders = self.records("order")
         checkpoint = self.checkpoint("orders")
-        return streaming.order_stream(orders, self.orders, checkpoint, ("arrived",))
+        return streaming.order_stream(orders, self.orders, checkpoint, VERSION)
 
     def job_users(self):
         feed = self.records("user_info")
-        return streaming.user_stream(feed, self.users, self.checkpoint("users"), ("arrived",))
+        return streaming.user_stream(feed, self.users, self.checkpoint("users"), VERSION)
 
     def job_sales(self):
         return streaming.sale_stream(
@@ -105,6 +117,15 @@ class Shop:
         events = self.records("event").withColumn("event_ts", F.timestamp_millis("ts"))
         return streaming.alert_stream(events, self.alerts, self.checkpoint("alerts"))
 
+    def job_quarantine(self):
+        """Texts that no other job can use, by topic."""
+        found = None
+        for topic, schema in TOPICS.items():
+            bad = quarantined(self.raw(topic), schema).select(F.lit(topic).alias("topic"), "reason", "value")
+            found = bad if found is None else found.union(bad)
+        writer = found.writeStream.format("json").partitionBy("topic", "reason")
+        return writer.option("path", self.args.out).option("checkpointLocation", self.checkpoint("quarantine"))
+
     # ---- answers ----
 
     def answer_total(self) -> DataFrame:
@@ -129,12 +150,15 @@ def parser() -> argparse.ArgumentParser:
     run = commands.add_parser("run", help="start a stream job")
     run.add_argument(
         "what",
-        choices=["archive", "logs", "changes", "visits", "orders", "users", "sales", "alerts"],
+        choices=["archive", "logs", "changes", "visits", "orders", "users", "sales", "alerts", "quarantine"],
     )
-    run.add_argument("--tables", default="tables", help="folder of the stored tables")
+    run.add_argument("--tables", required=True, help="folder of the stored tables")
     source = run.add_mutually_exclusive_group(required=True)
     source.add_argument("--brokers", help="Kafka brokers")
     source.add_argument("--folder", help="folder with a sub-folder of JSON lines per topic")
+    run.add_argument("--starting", default="latest", help="where a new job begins in a topic")
+    run.add_argument("--rate", type=int, default=100_000, help="records (or files) of a micro-batch, at most")
+    run.add_argument("--version", default="version", help="number in a record that orders those of a file")
     run.add_argument("--prefix", default="", help="put before every Kafka topic name")
     run.add_argument("--out", help="folder of the archive or of routed files")
     run.add_argument("--checkpoints", help="folder of the checkpoints")
@@ -142,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
 
     answer = commands.add_parser("answer", help="print a dashboard answer as JSON")
     answer.add_argument("what", choices=["total", "hours", "sales"])
-    answer.add_argument("--tables", default="tables", help="folder of the stored tables")
+    answer.add_argument("--tables", required=True, help="folder of the stored tables")
     answer.add_argument("--date", required=True)
     answer.add_argument("--metric", default="dau", help="dau or order_amount")
     answer.add_argument("--keyword", default="")

@@ -13,6 +13,7 @@ from .time import (
     previous_day,
     stamp_arrival,
 )
+from .maps import last_values
 from .measure import age_band, money, one_decimal_percent
 from .plan import once
 
@@ -27,6 +28,7 @@ __all__ = [
     "created_date",
     "created_hour",
     "event_time",
+    "last_values",
     "log_date",
     "log_hour",
     "mask_phone",

@@ -10,8 +10,11 @@ BAND_HIGH = 30
 
 
 def money(amount: Column) -> Column:
-    """Exact money: sums of doubles depend on the order of the rows."""
-    return amount.cast("decimal(18,2)")
+    """Exact money: sums of doubles depend on the order of the rows.
+
+    An amount that is no number, or over 26 digits, is null and counts in no sum.
+    """
+    return amount.try_cast("decimal(28,2)")
 
 
 def one_decimal_percent(part: Column, total: Column) -> Column:

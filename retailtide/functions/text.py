@@ -20,18 +20,16 @@ def price(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words of a text."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda word: word != "")
+    """Lower-case terms of a text: each Han character, and runs of other letters and digits."""
+    term = r"\p{IsHan}|[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
+    return F.regexp_extract_all(F.lower(text), F.lit(term), 0)
 
 
 def matches_all(text: Column, keyword: str | None) -> Column:
-    """True when every word of ``keyword`` is a word of ``text``.
+    """True when every term of ``keyword`` is a term of ``text``.
 
-    A keyword without words matches nothing.
+    A keyword without terms matches nothing.
     """
-    words = (keyword or "").lower().split()
-    if not words:
-        return F.lit(False)
-    wanted = F.array(*[F.lit(word) for word in dict.fromkeys(words)])
-    found = F.size(F.array_intersect(wanted, tokens(text))) == F.size(wanted)
+    wanted = tokens(F.lit(keyword or ""))
+    found = (F.size(wanted) > 0) & (F.size(F.array_except(wanted, tokens(text))) == 0)
     return F.coalesce(found, F.lit(False))

@@ -269,59 +269,25 @@ def latest_alerts(alerts: DataFrame) -> DataFrame:
     return latest_by_key(alerts, ["alert_id"], ["window_end"])
 
 
-def alert_members(
+def alert_documents(
     events: DataFrame,
     alerts: DataFrame,
     size: int = WINDOW_SECONDS,
     slide: int = SLIDE_SECONDS,
 ) -> DataFrame:
-    """(alert_id, mid, ts, held, kind, value, n): who and what is behind each alert.
+    """(alert_id, mid, ts, kind, value, n): who and what is behind each alert.
 
-    ``alerts`` are stored ones: they are used twice. ``held`` is the most members
-    that the alert can have.
+    A document is stored in long form, one row per account, item and event type
+    with its count, so its size bounds no row. ``alerts`` are stored ones: they are
+    used twice.
     """
     slices = _Slices(size, slide)
     start = F.unix_seconds("window_start")
-    held = F.col("coupon_uids") + F.col("coupon_items") + F.col("events")
-    marked = alerts.select(
-        "alert_id", "mid", "ts", held.alias("held"), start.alias("window_start")
-    )
+    marked = alerts.select("alert_id", "mid", "ts", start.alias("window_start"))
     bucket = _down(F.col("window_start"), slices.bucket)
     places = marked.select(bucket.alias("bucket"), "mid").distinct()
     return (
         slices.windows(slices.counts(slices.of_devices(events, places)))
         .join(marked, ["window_start", "mid"])
-        .select("alert_id", "mid", "ts", "held", "kind", "value", "n")
+        .select("alert_id", "mid", "ts", "kind", "value", "n")
     )
-
-
-def alert_documents(alert_rows: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """Nested alert documents out of :func:`alert_members`.
-
-    (alert_id, part, mid, ts, uids, item_ids, events). Events come as (evid, n):
-    their order is lost in any shuffle, and counts do not grow with the window.
-    An alert that may have more than ``part_size`` members is spread over several
-    parts, so a row stays small and nothing is left out; others have the one
-    part 0.
-    """
-    kind, value = F.col("kind"), F.col("value")
-    parts = F.ceil(F.col("held") / F.lit(part_size))
-    part = F.pmod(F.xxhash64(kind, value), parts).cast("int")
-
-    def values(of: str) -> Column:
-        return F.sort_array(F.collect_list(F.when(kind == of, value)))
-
-    counted = F.struct(value.alias("evid"), F.col("n"))
-    return (
-        alert_rows.groupBy("alert_id", part.alias("part"), "mid", "ts")
-        .agg(
-            values("uid").alias("uids"),
-            values("item").alias("item_ids"),
-            F.sort_array(F.collect_list(F.when(kind == "event", counted))).alias("events"),
-        )
-    )
-
-
-def event_list(events: Column) -> Column:
-    """The counted events of a document as a plain list of types."""
-    return F.flatten(F.transform(events, lambda e: F.array_repeat(e["evid"], e["n"].cast("int"))))

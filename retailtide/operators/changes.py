@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import last_values
+
 # (table, operation) -> topic. Everything else is dropped: order updates and all
 # deletes are not forwarded. Pass another table to forward more.
 ROUTES: dict[tuple[str, str], str] = {
@@ -29,6 +31,10 @@ def route_changes(changes: DataFrame, routes: dict[tuple[str, str], str] = ROUTE
 
 
 def flatten_rows(routed: DataFrame) -> DataFrame:
-    """(topic, value): the row after the change as flat JSON, all values texts."""
-    as_map = F.map_from_entries(F.col("columns"))
+    """(topic, value): the row after the change as flat JSON, all values texts.
+
+    Of a repeated column the last value stays; one without a name is left out.
+    """
+    named = F.transform("columns", lambda c: F.struct(c["name"].alias("key"), c["value"].alias("value")))
+    as_map = last_values(F.filter(named, lambda c: c["key"].isNotNull()))
     return routed.select("topic", F.to_json(as_map).alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import event_time, log_date, once, stamp_arrival
+from ..functions import event_time, last_values, log_date, once, stamp_arrival
 
 
 def stamp(raw: DataFrame, arrival_ms: Column | None = None) -> DataFrame:
@@ -12,11 +12,13 @@ def stamp(raw: DataFrame, arrival_ms: Column | None = None) -> DataFrame:
 
     Pass the broker's time as ``arrival_ms`` where there is one: it stays the
     same when a batch is run again, the clock does not. Adds ``ts``. The record
-    is opened as a map of variants, so all keys and their types survive.
+    is opened as a map of variants, so all keys and their types survive; of a
+    repeated key the last value stays.
     """
     ms = stamp_arrival() if arrival_ms is None else arrival_ms
-    others = F.map_filter(F.from_json("value", "map<string,variant>"), lambda key, _: key != "ts")
-    stamped = F.map_concat(others, F.create_map(F.lit("ts"), ms.cast("variant")))
+    entries = F.map_entries(F.from_json("value", "map<string,variant>"))
+    stamp_entry = F.array(F.struct(F.lit("ts").alias("key"), ms.cast("variant").alias("value")))
+    stamped = last_values(F.concat(F.filter(entries, lambda e: e["key"] != "ts"), stamp_entry))
     rest = [name for name in raw.columns if name not in ("value", "ts")]
     return raw.select(*rest, ms.alias("ts"), once(F.to_json(stamped)).alias("value"))
 

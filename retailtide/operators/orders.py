@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import created_date, created_hour, mask_phone, money
 from .latest import first_by_key
 
-# Width and end of the map's colour steps.
-BIN_WIDTH = 100
-BIN_END = 600
+# Where the map's colour steps begin; the last one has no end.
+BIN_EDGES = (0, 100, 200, 300, 400, 500)
 
 
 def enrich_orders(orders: DataFrame) -> DataFrame:
@@ -68,8 +69,7 @@ def sales_by_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
     )
 
 
-def colour_bin(count: Column) -> Column:
-    """Step of the map's scale; the last one holds its upper end, null is above."""
-    step = F.floor(count / F.lit(BIN_WIDTH))
-    last = BIN_END // BIN_WIDTH - 1
-    return F.when(count <= BIN_END, F.least(step, F.lit(last)).cast("int"))
+def colour_bin(count: Column, edges: Sequence[int] = BIN_EDGES) -> Column:
+    """Step of the map's scale: the number of the last edge not above ``count``."""
+    steps = F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge <= count))
+    return (steps - 1).cast("int")

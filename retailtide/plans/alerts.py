@@ -5,7 +5,7 @@ The given events are minutes apart, so most run the rule with a window of hours.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import alerts
 from ..session import stored
@@ -48,22 +48,9 @@ def coupon_alert_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coupon_alert_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, their lists as text."""
-    events = _events(spark, sf_dir)
+    """The documents, a row per member."""
     found = stored(_alerts(spark, sf_dir), "alerts")
-    rows = alerts.alert_members(events, found, SIZE, SLIDE)
-
-    def joined(values: Column) -> Column:
-        return F.array_join(values, ",")
-
-    return alerts.alert_documents(rows).select(
-        "alert_id",
-        "mid",
-        "ts",
-        joined(F.col("uids")).alias("uids"),
-        joined(F.col("item_ids")).alias("item_ids"),
-        joined(alerts.event_list(F.col("events"))).alias("events"),
-    )
+    return alerts.alert_documents(_events(spark, sf_dir), found, SIZE, SLIDE)
 
 
 QUERIES = {
@@ -81,7 +68,7 @@ QUERIES = {
 def windows_sql(size: int, slide: int) -> str:
     return f"""
 ev AS (
-  SELECT (user_id % 10)::VARCHAR AS mid, user_id::VARCHAR AS uid,
+  SELECT (user_id // 15)::VARCHAR AS mid, user_id::VARCHAR AS uid,
          CASE event_type WHEN 'view' THEN 'coupon' WHEN 'purchase' THEN 'clickItem'
                          ELSE event_type END AS evid,
          json_extract_string(props, '$.k') AS itemid, ts
@@ -133,14 +120,15 @@ WITH {windows_sql(DEDUP_SIZE, DEDUP_SLIDE)}, latest AS (
 )
 SELECT {ALERT_COLUMNS} FROM latest""",
     "coupon_alert_document": f"""
-WITH {windows_sql(SIZE, SLIDE)}
-SELECT a.alert_id, a.mid, a.ts,
-       (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT w.uid AS v FROM win w
-         WHERE w.window_start = a.window_start AND w.mid = a.mid AND w.evid = 'coupon')) AS uids,
-       (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT w.itemid AS v FROM win w
-         WHERE w.window_start = a.window_start AND w.mid = a.mid AND w.evid = 'coupon'))
-         AS item_ids,
-       (SELECT string_agg(w.evid, ',' ORDER BY w.evid) FROM win w
-         WHERE w.window_start = a.window_start AND w.mid = a.mid) AS events
-FROM alert a""",
+WITH {windows_sql(SIZE, SLIDE)}, held AS (
+  SELECT a.alert_id, a.mid, a.ts, w.evid, w.uid, w.itemid
+  FROM alert a JOIN win w ON w.window_start = a.window_start AND w.mid = a.mid
+)
+SELECT alert_id, mid, ts, 'event' AS kind, evid AS value, count(*) AS n FROM held GROUP BY ALL
+UNION ALL
+SELECT alert_id, mid, ts, 'uid' AS kind, uid AS value, count(*) AS n FROM held
+WHERE evid = 'coupon' AND uid IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT alert_id, mid, ts, 'item' AS kind, itemid AS value, count(*) AS n FROM held
+WHERE evid = 'coupon' AND itemid IS NOT NULL GROUP BY ALL""",
 }

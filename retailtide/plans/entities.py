@@ -59,10 +59,11 @@ def startup_log(events: DataFrame) -> DataFrame:
     return with_log_time(logs)
 
 
-def event_info(events: DataFrame, devices: int = 10) -> DataFrame:
+def event_info(events: DataFrame, users: int = 15) -> DataFrame:
+    """``users`` accounts share a device, so devices grow with the table."""
     kind = F.col("event_type")
     return events.select(
-        (F.col("user_id") % devices).cast("string").alias("mid"),
+        F.floor(F.col("user_id") / F.lit(users)).cast("string").alias("mid"),
         text("user_id").alias("uid"),
         F.when(kind == "view", "coupon")
         .when(kind == "purchase", "clickItem")
@@ -166,8 +167,7 @@ def order_detail(lines: DataFrame, parts: DataFrame) -> DataFrame:
 def user_info(customers: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     born = F.date_add(F.lit("1960-01-01").cast("date"), ((key * 97) % 15000).cast("int"))
-    # the shop has no user record of customers in debt, so some orders find none
-    return customers.filter(F.col("c_acctbal") >= 0).select(
+    return customers.select(
         text("c_custkey").alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),
@@ -176,6 +176,11 @@ def user_info(customers: DataFrame) -> DataFrame:
     )
 
 
+def without_debt(customers: DataFrame) -> DataFrame:
+    """For look-ups that should miss some: no record of customers in debt."""
+    return customers.filter(F.col("c_acctbal") >= 0)
+
+
 def user_feed(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """User changes: each user is inserted once, and each order sets a new level."""
     users = user_info(customers)

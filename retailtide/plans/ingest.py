@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.changes import flatten_rows, route_changes
 from ..operators.logs import route_logs
 from ..schemas import EVENT
-from ..sources import parse_records
+from ..sources import parse_records, quarantined
 from .entities import changes, raw_logs, table
 
 
@@ -39,7 +39,18 @@ def cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("topic", row.alias("row")).select("topic", "row.*")
 
 
-QUERIES = {f.__name__: f for f in (parse_events, log_route, cdc_route, cdc_flatten)}
+def log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log texts of which errors come cut short and purchases without a time."""
+    events = table(spark, sf_dir, "events")
+    raw = raw_logs(events).withColumn("kind", F.get_json_object("value", "$.evid"))
+    cut = F.when(F.col("kind") == "error", F.expr("left(value, length(value) - 1)"))
+    cut = cut.when(F.col("kind") == "purchase", F.regexp_replace("value", ',"ts":[0-9]+', ""))
+    bad = quarantined(raw.select(F.coalesce(cut, F.col("value")).alias("value")), EVENT)
+    uid = F.regexp_extract("value", '"uid":"([0-9]+)"', 1)
+    return bad.select("reason", uid.alias("uid"))
+
+
+QUERIES = {f.__name__: f for f in (parse_events, log_route, log_quarantine, cdc_route, cdc_flatten)}
 
 _RAW = """
 raw AS (
@@ -86,6 +97,10 @@ WITH {_RAW} SELECT type, mid, uid, evid, NULL::VARCHAR AS itemid, ts FROM raw"""
     "log_route": f"""
 WITH {_RAW}
 SELECT CASE WHEN type = 'startup' THEN 'startup' ELSE 'event' END AS topic, uid, ts FROM raw""",
+    "log_quarantine": """
+SELECT CASE event_type WHEN 'error' THEN 'broken' ELSE 'no time' END AS reason,
+       user_id::VARCHAR AS uid
+FROM events WHERE event_type IN ('error', 'purchase')""",
     "cdc_route": f"""
 WITH {_CHANGES} SELECT topic, "table", op, id FROM routed""",
     "cdc_flatten": f"""

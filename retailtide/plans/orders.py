@@ -112,9 +112,12 @@ usr AS (
          date_diff('day', (DATE '1960-01-01' + ((c_custkey * 97) % 15000)::INTEGER)::DATE,
                    DATE '{AS_OF}') // 365 AS age,
          CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
 )"""
 
+# users of look-ups that should miss some
+KNOWN_SQL = USERS_SQL.replace("FROM customer", "FROM customer WHERE c_acctbal >= 0")
+
 ORACLE = {
     "order_enriched": f"""
 WITH {ORDERS_SQL}
@@ -137,7 +140,7 @@ FROM ord""",
     "province_sales": f"""
 WITH {ORDERS_SQL}
 SELECT province_id, n_name AS province, count(*) AS orders, sum(amount)::DOUBLE AS amount,
-       CASE WHEN count(*) <= 600 THEN least(count(*) // 100, 5)::INTEGER END AS bin
+       least(count(*) // 100, 5)::INTEGER AS bin
 FROM ord LEFT JOIN nation ON n_nationkey::VARCHAR = province_id
 GROUP BY province_id, n_name""",
     "user_latest": f"""

@@ -8,8 +8,8 @@ from ..operators import report, sales
 from ..operators.orders import enrich_orders
 from ..schemas import SALE_COLUMNS
 from ..session import stored
-from .entities import AS_OF, lines_of, order_detail, order_info, orders_of, table, user_info
-from .orders import DETAILS_SQL, ORDERS_SQL, USERS_SQL
+from .entities import AS_OF, lines_of, order_detail, order_info, orders_of, table, user_info, without_debt
+from .orders import DETAILS_SQL, KNOWN_SQL, ORDERS_SQL
 
 DAY = "1998-05-07"
 KEYWORD = "red"
@@ -21,7 +21,7 @@ def _details(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFr
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return user_info(table(spark, sf_dir, "customer"))
+    return user_info(without_debt(table(spark, sf_dir, "customer")))
 
 
 def _wide(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
@@ -130,7 +130,7 @@ QUERIES = {
     )
 }
 
-WIDE_SQL = f"""{ORDERS_SQL}, {DETAILS_SQL}, {USERS_SQL},
+WIDE_SQL = f"""{ORDERS_SQL}, {DETAILS_SQL}, {KNOWN_SQL},
 met AS (
   SELECT d.id AS order_detail_id, d.order_id, o.order_status, o.create_time,
          o.create_date AS dt, o.user_id, d.sku_id, d.sku_name, d.order_price::DOUBLE AS sku_price,
@@ -152,7 +152,7 @@ wide AS (
 ),
 hits AS (
   SELECT * FROM wide
-  WHERE dt = '{DAY}' AND list_contains(string_split(lower(sku_name), ' '), '{KEYWORD}')
+  WHERE dt = '{DAY}' AND list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), '{KEYWORD}')
 )"""
 
 
@@ -193,7 +193,7 @@ FROM det d FULL OUTER JOIN ord o ON o.id = d.order_id""",
 WITH {WIDE_SQL}
 SELECT order_detail_id, order_id, sku_price, detail_s - order_s AS gap_seconds FROM met""",
     "sale_user_left": f"""
-WITH {ORDERS_SQL}, {USERS_SQL}
+WITH {ORDERS_SQL}, {KNOWN_SQL}
 SELECT o.id AS order_id, o.user_id, gender AS user_gender, coalesce(age, 0)::INTEGER AS user_age,
        user_level
 FROM ord o LEFT JOIN usr ON usr.id = o.user_id""",

@@ -24,6 +24,7 @@ from .entities import (
     table,
     user_feed,
     user_info,
+    without_debt,
 )
 from .ingest import CHANGES_SQL, RAW_SQL
 from .orders import ORACLE as ORDER_ORACLE
@@ -98,7 +99,7 @@ def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = streaming.visit_table(f"{work}/visits")
     logs = startup_log(_stream(spark, sf_dir, "events"))
     streaming.drain(
-        streaming.visit_stream(logs, visits, f"{work}/checkpoint", ANY_DELAY, ("event_id",))
+        streaming.visit_stream(logs, visits, f"{work}/checkpoint", ("event_id",))
     )
     return _text(visits.read(spark), "log_date")
 
@@ -109,7 +110,7 @@ def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([ORDER[name] for name in names])
     orders = streaming.order_table(f"{work}/orders", schema, ONE_FOLDER)
     feed = order_info(_stream(spark, sf_dir, "orders")).select(*names)
-    streaming.drain(streaming.order_stream(feed, orders, f"{work}/checkpoint"))
+    streaming.drain(streaming.order_stream(feed, orders, f"{work}/checkpoint", ("create_time",)))
     return orders.read(spark)
 
 
@@ -131,7 +132,7 @@ def sale_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         streaming.sale_stream(
             order_info(_stream(spark, sf_dir, "orders")),
             order_detail(_stream(spark, sf_dir, "lineitem"), parts),
-            lambda ids: user_info(table(spark, sf_dir, "customer")).join(ids, "id", "left_semi"),
+            lambda ids: user_info(without_debt(table(spark, sf_dir, "customer"))).join(ids, "id", "left_semi"),
             lines,
             f"{work}/checkpoint",
             delay=ANY_DELAY,

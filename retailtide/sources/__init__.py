@@ -1,6 +1,6 @@
 """Where rows come from: topics, file streams, tables, change records."""
 
-from .records import parse_changes, parse_records, rejected_records
+from .records import parse_changes, parse_records, quarantined, rejected_records
 from .tables import jdbc_table, on_day, parquet_table
 from .topics import file_stream, kafka_options, kafka_topic
 
@@ -13,5 +13,6 @@ __all__ = [
     "parquet_table",
     "parse_changes",
     "parse_records",
+    "quarantined",
     "rejected_records",
 ]

@@ -48,6 +48,18 @@ def rejected_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return _parsed(raw, schema, names).filter(F.col(BROKEN)).select(*names)
 
 
+def quarantined(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """(value, reason): the texts that the jobs of a topic cannot use.
+
+    ``broken`` is no JSON object, ``no time`` a record without ``ts`` where the topic has one.
+    """
+    opened = _parsed(raw, schema, ("value",))
+    reason = F.when(F.col(BROKEN), "broken")
+    if "ts" in schema.names:
+        reason = reason.when(F.col("ts").isNull(), "no time")
+    return opened.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def parse_changes(raw: DataFrame) -> DataFrame:
     """Change records of the shop database from their JSON text."""
     return parse_records(raw, CHANGE)

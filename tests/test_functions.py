@@ -73,6 +73,11 @@ def test_log_times(spark):
         ("  ", "red", False),
         (None, "red", False),
         ("red", None, False),
+        ("red gear", "Red-Gear, big", True),
+        ("小米高速双频", "小米高速双频路由器", True),
+        ("小米手机", "小米高速双频路由器", False),
+        ("路由器 AC1200", "小米路由器AC1200", True),
+        ("...", "red", False),
     ],
 )
 def test_keyword(spark, keyword, text, hit):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from retailtide.operators.changes import flatten_rows, route_changes
 from retailtide.operators.logs import route_logs, stamp, with_archive_day
+from retailtide.operators.orders import order_amount
 from retailtide.schemas import CHANGE, EVENT
 from retailtide.sources import kafka_options, parse_changes, parse_records, rejected_records
 from retailtide.streaming import change_stream
@@ -84,6 +85,12 @@ def test_changes(spark):
         CHANGE,
     )
     flat = flatten_rows(route_changes(frame)).collect()
+    # the last value of a repeated column wins, one without a name is left out
+    twice = spark.createDataFrame(
+        [("order", "order_info", "INSERT", [("a", "1"), (None, "x"), ("b", None), ("a", "2")])],
+        "topic string, table string, op string, columns array<struct<name:string,value:string>>",
+    )
+    assert json.loads(flatten_rows(twice).first()["value"]) == {"b": None, "a": "2"}
     found = [(row["topic"], json.loads(row["value"])) for row in flat]
     assert found == [
         ("order", {"id": "1"}),
@@ -111,3 +118,14 @@ def test_kafka_options():
     assert options["startingOffsets"] == "latest"
     assert options["maxOffsetsPerTrigger"] == "100"
     assert "group.id" not in " ".join(options)
+
+
+def test_a_repeated_key_keeps_its_last_value(spark):
+    raw = spark.createDataFrame([('{"a":1,"ts":3,"a":2}',), ("broken",), (None,)], "value string")
+    found = [r["value"] for r in stamp(raw, F.lit(7)).collect()]
+    assert json.loads(found[0]) == {"a": 2, "ts": 7} and found[2] is None
+
+
+def test_an_amount_too_large_counts_in_no_sum(spark):
+    frame = spark.createDataFrame([("d", "h", 1e40), ("d", "h", float("nan")), ("d", "h", 1e17), ("d", "h", 0.1)], "create_date string, create_hour string, total_amount double")
+    assert order_amount(frame, "d").first()[0] == 1e17

@@ -117,7 +117,7 @@ def test_provinces(spark):
         1,
         5,
         5,
-        None,
+        5,
     ]
 
 

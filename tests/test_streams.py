@@ -12,7 +12,7 @@ from retailtide import streaming
 from retailtide.operators import alerts as alert_ops
 from retailtide.operators.orders import enrich_orders
 from retailtide.operators.sales import sale_lines
-from retailtide.operators.visits import first_visits
+from retailtide.operators.visits import first_visits, with_log_time
 from retailtide.plans import entities as ent
 from retailtide.schemas import ORDER, SALE_COLUMNS, VISIT_COLUMNS
 from retailtide.session import work_folder
@@ -43,7 +43,7 @@ def test_visits(spark, small_dir, tmp_path):
     visits = streaming.visit_table(str(tmp_path / "visits"))
     streaming.drain(
         streaming.visit_stream(
-            ent.startup_log(stream), visits, str(tmp_path / "cp"), "1 hour", ("event_id",)
+            ent.startup_log(stream), visits, str(tmp_path / "cp"), ("event_id",)
         )
     )
     batch = first_visits(ent.startup_log(events), ["event_id"]).select(*VISIT_COLUMNS)
@@ -58,7 +58,7 @@ def test_visits_in_any_order_keep_the_earliest(spark, small_dir, tmp_path):
     visits = streaming.visit_table(str(tmp_path / "visits"))
     streaming.drain(
         streaming.visit_stream(
-            ent.startup_log(stream), visits, str(tmp_path / "cp"), "60 days", ("event_id",)
+            ent.startup_log(stream), visits, str(tmp_path / "cp"), ("event_id",)
         )
     )
     batch = first_visits(ent.startup_log(events), ["event_id"]).select(*VISIT_COLUMNS)
@@ -190,7 +190,7 @@ def test_orders_and_users(spark, small_dir, tmp_path):
         str(tmp_path / "orders"), T.StructType([ORDER[n] for n in names]), ()
     )
     stream = replay(spark, orders, "order_ts", tmp_path)
-    streaming.drain(streaming.order_stream(stream.select(*names), table, str(tmp_path / "cp")))
+    streaming.drain(streaming.order_stream(stream.select(*names), table, str(tmp_path / "cp"), ("create_time",)))
     assert rows(table.read(spark)) == rows(enrich_orders(orders.select(*names)))
 
     users = streaming.user_table(str(tmp_path / "users"))
@@ -229,13 +229,13 @@ def pairs(spark, *found):
 def test_later_batches_win_and_a_batch_can_be_run_again(spark, tmp_path):
     table = KeyedTable(str(tmp_path), PAIR, ("k",))
     assert rows(table.read(spark)) == []
-    table.upsert(pairs(spark, ("a", 1), ("b", 1)), 0)
-    table.upsert(pairs(spark, ("a", 2)), 1)
-    table.upsert(pairs(spark, ("a", 2)), 1)
-    table.upsert(pairs(spark), 2)
+    table.upsert(pairs(spark, ("a", 1), ("b", 1)), 0, unique=True)
+    table.upsert(pairs(spark, ("a", 2)), 1, unique=True)
+    table.upsert(pairs(spark, ("a", 2)), 1, unique=True)
+    table.upsert(pairs(spark), 2, unique=True)
     assert rows(table.read(spark)) == [("a", 2), ("b", 1)]
     table.compact(spark)
-    table.upsert(pairs(spark, ("b", 3), ("c", 3)), 3)
+    table.upsert(pairs(spark, ("b", 3), ("c", 3)), 3, unique=True)
     assert rows(table.read(spark)) == [("a", 2), ("b", 3), ("c", 3)]
     table.compact(spark)
     assert rows(table.read(spark)) == [("a", 2), ("b", 3), ("c", 3)]
@@ -250,11 +250,47 @@ def test_order_decides_before_the_batch(spark, tmp_path):
 
 def test_an_unfinished_compaction_is_ignored(spark, tmp_path):
     table = KeyedTable(str(tmp_path), PAIR, ("k",))
-    table.upsert(pairs(spark, ("a", 1)), 0)
+    table.upsert(pairs(spark, ("a", 1)), 0, unique=True)
     (tmp_path / "base" / "batch_id=9").mkdir(parents=True)
     assert rows(table.read(spark)) == [("a", 1)]
 
 
+def test_an_unfinished_change_is_ignored(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), PAIR, ("k",))
+    table.upsert(pairs(spark, ("a", 1)), 0, unique=True)
+    table.upsert(pairs(spark, ("a", 2)), 1, unique=True)
+    (tmp_path / "changes" / "batch_id=1" / "_SUCCESS").unlink()
+    assert rows(table.read(spark)) == [("a", 1)]
+
+
+def test_batches_compact_the_table_and_remove_what_is_covered(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), PAIR, ("k",), compact_every=2)
+    for n in range(7):
+        table.upsert(pairs(spark, ("a", n), (f"b{n}", n)), n, unique=True)
+    assert rows(table.read(spark)) == sorted([("a", 6)] + [(f"b{n}", n) for n in range(7)])
+    assert sorted(p.name for p in (tmp_path / "base").iterdir()) == ["batch_id=3", "batch_id=5"]
+    assert sorted(p.name for p in (tmp_path / "changes").iterdir()) == ["batch_id=4", "batch_id=5", "batch_id=6"]
+
+
+def test_a_batch_with_repeated_keys_needs_an_order(spark, tmp_path):
+    with pytest.raises(ValueError, match="order"):
+        KeyedTable(str(tmp_path), PAIR, ("k",)).upsert(pairs(spark, ("a", 1)), 0)
+
+
+def test_late_and_far_ahead_visits_are_kept(spark, tmp_path):
+    day = 86_400_000
+    found = [("a", 30 * day + 5), ("far", 900 * day), ("b", 28 * day), ("c", None), ("a", 30 * day + 2), ("d", 30 * day)]
+    schema = "mid string, ts bigint"
+    for n, row in enumerate(found):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    logs = with_log_time(file_stream(spark, f"{tmp_path}/in/", spark.createDataFrame([], schema).schema, files_per_trigger=1))
+    others = [F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS if c not in logs.columns]
+    visits = streaming.visit_table(str(tmp_path / "visits"))
+    streaming.drain(streaming.visit_stream(logs.select("*", *others), visits, str(tmp_path / "cp")))
+    got = sorted((r["mid"], r["ts"]) for r in visits.read(spark).collect())
+    assert got == [("a", 30 * day + 2), ("b", 28 * day), ("d", 30 * day), ("far", 900 * day)]
+
+
 def test_work_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_folder(spark, "x"), work_folder(spark, "x")
