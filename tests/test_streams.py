@@ -158,7 +158,7 @@ def test_each_detail_meets_its_order_once_in_either_order(spark, tmp_path):
 
 def test_alerts_of_closed_windows(spark, small_dir, tmp_path):
     size, slide = 24 * 3600, 3600
-    events = ent.event_info(ent.table(spark, small_dir, "events"), devices=5)
+    events = ent.event_info(ent.table(spark, small_dir, "events"), users=3)
     table = streaming.alert_table(str(tmp_path / "alerts"))
     streaming.drain(
         streaming.alert_stream(
@@ -212,7 +212,7 @@ def test_only_the_buyers_of_a_batch_are_read(spark, tmp_path):
         [(i, "n", "1", "2000-01-01", "M") for i in "abc"],
         "id string, login_name string, user_level string, birthday string, gender string",
     )
-    users.upsert(feed, 0)
+    users.upsert(feed, 0, unique=True)
     wanted = spark.createDataFrame([("a",), ("z",), (None,)], "id string")
     assert [r["id"] for r in streaming.users_in(users)(wanted).collect()] == ["a"]
 
