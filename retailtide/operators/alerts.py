@@ -291,3 +291,23 @@ def alert_documents(
         .join(marked, ["window_start", "mid"])
         .select("alert_id", "mid", "ts", "kind", "value", "n")
     )
+
+
+def bucket_counts(events: DataFrame, size: int, slide: int) -> DataFrame:
+    """(bucket, pane, mid, kind, value, n): what a table of panes takes in."""
+    slices = _Slices(size, slide)
+    return slices.counts(slices.with_pane(events)).select("bucket", "pane", *MEMBER, "n")
+
+
+def bucket_alerts(
+    counts: DataFrame, size: int, slide: int, uids: int = MIN_UIDS
+) -> tuple[DataFrame, DataFrame]:
+    """Alerts and documents, each with its ``bucket``, of whole buckets of :func:`bucket_counts`."""
+    slices = _Slices(size, slide)
+    found = slices.profiles(counts, keep=is_alert(uids)).drop("clicked")
+    bucket = _down(F.col("window_start"), slices.bucket)
+    alerts = with_alert_id(_window_times(found.withColumn("bucket", bucket), size))
+    marked = alerts.select("bucket", "alert_id", "mid", "ts", F.unix_seconds("window_start").alias("window_start"))
+    able = counts.join(marked.select("bucket", "mid").distinct(), ["bucket", "mid"], "left_semi")
+    documents = slices.windows(able).join(marked, ["window_start", "mid"])
+    return alerts, documents.select("alert_id", "mid", "ts", "kind", "value", "n", "bucket")

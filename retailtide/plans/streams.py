@@ -142,23 +142,23 @@ def sale_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.read(spark)
 
 
-def coupon_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts of closed windows: the watermark ends at the last event, and the
-    windows still open then are not judged."""
+def _alert_stream(spark: SparkSession, sf_dir: str) -> streaming.AlertTable:
     work = work_folder(spark, "alert")
     found = streaming.alert_table(f"{work}/alerts")
     events = event_info(_stream(spark, sf_dir, "events"))
-    streaming.drain(
-        streaming.alert_stream(
-            events,
-            found,
-            f"{work}/checkpoint",
-            delay="0 seconds",
-            size=alert_plans.SIZE,
-            slide=alert_plans.SLIDE,
-        )
-    )
-    return alert_plans.shown(found.read(spark))
+    size, slide = alert_plans.SIZE, alert_plans.SLIDE
+    streaming.drain(streaming.alert_stream(events, found, f"{work}/checkpoint", size, slide))
+    return found
+
+
+def coupon_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts, windows still open included."""
+    return alert_plans.shown(_alert_stream(spark, sf_dir).read(spark))
+
+
+def coupon_alert_document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the live alerts, a row per member."""
+    return _alert_stream(spark, sf_dir).documents(spark)
 
 
 QUERIES = {
@@ -173,6 +173,7 @@ QUERIES = {
         user_stream,
         sale_stream,
         coupon_alert_stream,
+        coupon_alert_document_stream,
     )
 }
 
@@ -193,9 +194,6 @@ FROM ({ORDER_ORACLE['order_enriched']}) o""",
     "user_stream": f"""
 SELECT id, login_name, user_level FROM ({ORDER_ORACLE['user_latest']}) u""",
     "sale_stream": SALE_ORACLE["sale_detail_wide"],
-    "coupon_alert_stream": f"""
-WITH {alert_plans.windows_sql(alert_plans.SIZE, alert_plans.SLIDE)}, closed AS (
-  SELECT * FROM alert WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)
-)
-SELECT {alert_plans.ALERT_COLUMNS} FROM closed""",
+    "coupon_alert_stream": alert_plans.ORACLE["coupon_alert"],
+    "coupon_alert_document_stream": alert_plans.ORACLE["coupon_alert_document"],
 }

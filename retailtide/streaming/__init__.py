@@ -1,9 +1,8 @@
 """The long-running jobs. Each is its own query with its own checkpoint."""
 
+from .alerts import AlertTable, alert_stream, alert_table
 from .ingest import change_stream, log_archive_stream, log_route_stream
 from .jobs import (
-    alert_stream,
-    alert_table,
     order_stream,
     order_table,
     sale_stream,
@@ -17,6 +16,7 @@ from .jobs import (
 from .run import drain, every
 
 __all__ = [
+    "AlertTable",
     "alert_stream",
     "alert_table",
     "change_stream",
