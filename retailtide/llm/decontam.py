@@ -28,6 +28,7 @@ MAX_EDIT_SHARE = 0.2
 SAMPLES, WALKS = 4, 8
 #: Characters of benchmark text that one pass over the documents looks for.
 BLOCK_CHARS = 8 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def window_length(words: int) -> int:
@@ -51,22 +52,25 @@ def signatures(hashes: np.ndarray, starts: np.ndarray, length: int, walk: int) -
     steps = 2 * length
     sampled = set(draw.choice(steps, min(SAMPLES, steps), replace=False).tolist())
     words = np.append(hashes, np.uint64(0))  # the last stands for the end of a window
-    end = starts + length
-    none = len(hashes)
-    at = starts.copy()
+    end = (starts + length).astype(np.int32)
+    at = starts.astype(np.int32)
     total = np.full(len(starts), np.uint64(length * 64 + walk))
+    read = np.empty(len(starts), dtype=np.uint64)
     last = max(sampled)
     for step in range(last + 1):
         if step % 64 == 0:  # 64 bits of each word for the coming steps
             bits = mix(words ^ draw.integers(0, 1 << 63, dtype=np.uint64))
-        inside = at < end
-        place = np.where(inside, at, none)
         if step in sampled:
             with np.errstate(over="ignore"):
-                total = mix(total * np.uint64(3) + words[place])
-        if step < last:
-            at += ((bits[place] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64) & inside
-    return total
+                total = (total ^ words[np.where(at < end, at, len(hashes))]) * _ODD
+                total ^= total >> np.uint64(29)
+        if step < last:  # a walk that is through its window stays at its end
+            np.take(bits, at, out=read, mode="clip")
+            np.right_shift(read, np.uint64(step % 64), out=read)
+            np.bitwise_and(read, np.uint64(1), out=read)
+            np.add(at, read, out=at, casting="unsafe")
+            np.minimum(at, end, out=at)
+    return mix(total)
 
 
 def edits(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -105,6 +109,7 @@ class Items:
         self.keys, self.item, self.start = (np.concatenate(c) if found else np.zeros(0, d) for c, d in zip(zip(*found) if found else ((),) * 3, (np.uint64, int, int), strict=True))
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.item, self.start = self.keys[order], self.item[order], self.start[order]
+        self.plain = [words.tolist() for words in self.words]
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[self.keys >> np.uint64(44)] = True
 
@@ -150,7 +155,8 @@ class Items:
                 begin = max(low, place // slack * slack - slack)
                 region = words.hash[begin : min(high, place // slack * slack + len(item) + 2 * slack)]
                 # each word that no edit touches stands in the region
-                if np.isin(item, region).sum() < len(item) - most:
+                there = set(region.tolist())
+                if sum(word in there for word in self.plain[number]) < len(item) - most:
                     continue
                 cost, end = edits(item, region)
                 if cost > most:
