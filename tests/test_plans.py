@@ -5,12 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from helpers import plan, rows
 from retailtide.operators import alerts, orders, sales, visits
+from retailtide.plans.registry import all_queries
 from retailtide.operators.latest import latest_by_key
 
-QUERIES = entry_module.queries()
+QUERIES = all_queries()
 BATCH = sorted(n for n in QUERIES if not n.endswith("_stream") and n != "log_archive_daily")
 
 
