@@ -3,9 +3,10 @@
 Vectors become whole numbers. They are rotated so that the first places hold most of the
 length; after each share of the places, a pair's score is at most its partial sum plus
 the product of what is left of both lengths. Pairs whose bound is below the query's k-th
-score so far are out; the score of all others is computed in whole numbers. Each task
-takes its range of lengths from the longest down, and stops computing when no query
-can gain from the lengths that are left.
+score so far are out; the score of all others is computed in whole numbers. Files hold
+ranges of lengths, each from the longest down. A task may read several of them in any
+order, so each block of vectors is judged by its own length and passed over when no
+query can gain from it.
 """
 
 from __future__ import annotations
@@ -184,12 +185,11 @@ def top_k(
             queries, bound, rotation = shared.value
             best = Best.none(k, len(queries.ids))
             best.bound = bound.copy()
-            more = True
             for batch in batches:
-                for start in range(0, batch.num_rows if more else 0, VECTOR_BLOCK):
+                for start in range(0, batch.num_rows, VECTOR_BLOCK):
                     part = batch.slice(start, VECTOR_BLOCK)
                     rows = Rotated(part.column("id").to_numpy(), _matrix(part.column("ints"), width), rotation)
-                    more = more and search(queries, rows, best)
+                    search(queries, rows, best)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(best.query), pa.array(queries.ids[best.query]), pa.array(best.vec), pa.array(best.score)],
                 names=["row", "query_id", "vec_id", "score"],

@@ -39,6 +39,28 @@ def test_against_a_full_sort(spark, monkeypatch, blocks):
     assert run(spark, rows, 10) == plain(rows, 10)
 
 
+def test_a_task_that_reads_short_vectors_before_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 16)
+    monkeypatch.setattr(topk, "HEAD", 8)
+    draw = np.random.default_rng(4)
+    # the file of the long vectors is the smallest, so Spark reads it last
+    rows = [(i, [1.0, *(float(x) for x in draw.normal(size=15) / 10)]) for i in range(600)]
+    rows += [(1000 + i, [100.0 + i, *[0.0] * 15]) for i in range(200)]
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "1g",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert run(spark, rows, 50, k=5) == plain(rows, 50, k=5)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (None, [9.0, 9.0]), (10, None), (20, []), (30, [1.0, None]), (40, [float("nan"), 1.0]), (50, [float("inf"), 1.0])]
     rows += [(60, [3.0]), (7, [0.5, -0.25]), (8, [0.0, 0.0]), (70, [-1e-9, 1e5])]
