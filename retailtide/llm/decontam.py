@@ -22,10 +22,14 @@ from .batches import Words, map_batches, mix, text_slices
 
 #: Edits per word of an item up to which a passage counts as that item.
 MAX_EDIT_SHARE = 0.2
-#: Sampled places of a signature, and independent walks. One edit spoils a walk with a
-#: chance of a half to two thirds, so eight find about 97 of 100 windows with one edit; an
-#: item has several windows, so the recall per item is above that (see the tests).
-SAMPLES, WALKS = 4, 8
+#: The share of items with the most edits allowed that should be found, at every length of item.
+TARGET_RECALL = 0.97
+#: The longest window. At a fixed share of edits a walk's chance to come through falls with the
+#: length of its window, while a longer item only has more of the short ones.
+MAX_WINDOW = 16
+#: Sampled places of a signature, and independent walks; so many that items of each length
+#: reach ``TARGET_RECALL`` (see the tests).
+SAMPLES, WALKS = 4, 16
 #: Characters of benchmark text that one pass over the documents looks for.
 BLOCK_CHARS = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -34,10 +38,11 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 def window_length(words: int) -> int:
     """Words of the windows for an item: the largest power of two that any placement in a text is sure to meet.
 
-    Windows begin at every quarter of their length, so an item must be longer by that.
+    Windows begin at every quarter of their length, so an item must be longer by that. None is
+    longer than ``MAX_WINDOW``.
     """
     length = 4
-    while 2 * length + stride(2 * length) - 1 <= words:
+    while 2 * length <= MAX_WINDOW and 2 * length + stride(2 * length) - 1 <= words:
         length *= 2
     return min(length, words)
 

@@ -1,6 +1,7 @@
 """Benchmark passages: recall on edited plants, exact verification, blocks, edge rows."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,22 @@ def test_recall_on_edited_passages(spark, documents, items, given):
     assert decontam.leaks(clean, items).count() == 0
 
 
+@pytest.mark.parametrize("size", [5, 9, 10, 15, 19, 20, 39, 40, 79, 90, 159, 200, 320])
+def test_recall_at_the_most_edits_allowed(size):
+    draw = np.random.default_rng(size)
+    found = 0
+    for _ in range(100):
+        item = draw.integers(1, 1 << 62, size).astype(np.uint64)
+        words = item.tolist()
+        for _ in range(int(0.2 * size)):
+            place, kind, other = int(draw.integers(len(words))), draw.integers(3), int(draw.integers(1, 1 << 62))
+            words[place : place + (kind != 2)] = [other] if kind != 1 else []
+        around = draw.integers(1, 1 << 62, 100 + int(draw.integers(64))).tolist()
+        text = np.array([*around, *words, *around[:100]], dtype=np.uint64)
+        found += bool(decontam.Items([0], [item]).hits(SimpleNamespace(first=np.array([0, len(text)]), hash=text), 0.2))
+    assert found >= 97
+
+
 def test_blocks_give_the_same(documents, items, given):
     one = decontam.leaks(given, items).collect()
     many = decontam.leaks(given, items, block_chars=2000).collect()
