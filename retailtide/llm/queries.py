@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, lines, lm, packing, quality, secrets, simhash, topk, toxicity
+from . import centroids, decontam, licenses, lines, lm, packing, quality, secrets, simhash, tokens, topk, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -92,6 +92,26 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"), "keep_runs")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector after five rounds, with inertia and the digest of its centroid."""
+    assigned, found = centroids.clustered(_read(spark, sf_dir, "embeddings"))
+    told = centroids.with_inertia(assigned, found)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return told.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    return tokens.token_counts(_read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of each vector, a row per component."""
+    found = whitening.whitened(_read(spark, sf_dir, "embeddings"))
+    each = found.select("*", F.posexplode("values").alias("place", "whitened"))
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened", F.col("explained")[F.col("place")].alias("explained"), "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -103,12 +123,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_lines": op9_lines,
     "op10_lm": op10_lm,
+    "op11_centroids": op11_centroids,
+    "op12_tokens": op12_tokens,
+    "op13_whitening": op13_whitening,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Whole-number k-means by comparing every vector with every centroid."""
+    parts = [
+        """vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = 64 AND list_bool_and([x IS NOT NULL AND isfinite(coalesce(x, 0)) FOR x IN embedding])
+)""",
+        f"""centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS c FROM vectors
+    QUALIFY cluster < {k}
+)""",
+    ]
+    for number in range(rounds + 1):
+        parts.append(f"""near{number} AS MATERIALIZED (
+    SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min((d, cluster)) AS best
+    FROM (SELECT row, vec_id, v, cluster, list_sum([(v[i] - c[i]) * (v[i] - c[i]) FOR i IN range(1, 65)])::BIGINT AS d
+          FROM vectors CROSS JOIN centroids{number}) GROUP BY row
+)""")
+        if number < rounds:
+            parts.append(f"""moved{number} AS (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c
+    FROM (SELECT best[2] AS cluster, i, sum(v[i])::BIGINT AS s, count(*) AS n
+          FROM near{number}, range(1, 65) AS places(i) GROUP BY best[2], i) GROUP BY cluster
+), centroids{number + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m.c, o.c) AS c FROM centroids{number} o LEFT JOIN moved{number} m USING (cluster)
+)""")
+    return f"""
+WITH {", ".join(parts)}
+SELECT vec_id, best[2]::INTEGER AS cluster, best[1] AS distance, sum(best[1]) OVER (PARTITION BY best[2])::BIGINT AS cluster_inertia,
+       sum(best[1]) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN centroids{rounds} ON cluster = best[2]
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_centroids": _clusters_sql(40, 5),
     "op8_topk": """
 WITH vectors AS (
     SELECT vec_id, [floor(1024 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS v FROM embeddings
