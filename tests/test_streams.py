@@ -14,7 +14,7 @@ from retailtide.operators.orders import enrich_orders
 from retailtide.operators.sales import sale_lines
 from retailtide.operators.visits import first_visits, with_log_time
 from retailtide.plans import entities as ent
-from retailtide.schemas import ORDER, SALE_COLUMNS, VISIT_COLUMNS
+from retailtide.schemas import ORDER, SALE_COLUMNS, USER, VISIT_COLUMNS
 from retailtide.session import work_folder
 from retailtide.sinks import KeyedTable
 from retailtide.sources import file_stream
@@ -69,6 +69,7 @@ def test_a_filter_on_the_day_prunes_the_visit_table(spark, small_dir, tmp_path):
     visits = streaming.visit_table(str(tmp_path / "visits"))
     logs = first_visits(ent.startup_log(ent.table(spark, small_dir, "events")), ["event_id"])
     visits.upsert(logs, 0)
+    visits.compact(spark)
     one = visits.read(spark).filter(F.col("log_date") == F.lit("2024-01-15").cast("date"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     try:
@@ -169,6 +170,41 @@ def test_alerts_in_any_order(spark, small_dir, tmp_path, order):
     assert rows(table.documents(spark)) == rows(alert_ops.alert_documents(events, batch.cache(), size, slide))
 
 
+def test_folding_panes_changes_no_alert(spark, small_dir, tmp_path):
+    size, slide = 24 * 3600, 3600
+    events = ent.event_info(ent.table(spark, small_dir, "events"), users=3)
+    table = streaming.AlertTable(str(tmp_path / "alerts"), fold_every=2)
+    stream = replay(spark, events, "itemid", tmp_path, 7)
+    streaming.drain(streaming.alert_stream(stream, table, str(tmp_path / "cp"), size, slide, uids=2))
+    batch = alert_ops.latest_alerts(alert_ops.coupon_alerts(events, size, slide, uids=2))
+    assert rows(table.read(spark)) == rows(batch)
+    assert rows(table.documents(spark)) == rows(alert_ops.alert_documents(events, batch.cache(), size, slide))
+    # files of a day: those of its live version and of the one before
+    for part in ("panes", "judged"):
+        base = tmp_path / "alerts" / part / "base"
+        assert all(len(list(span.glob("version=*"))) <= 2 for span in base.iterdir())
+        assert len(list((tmp_path / "alerts" / part / "changes").iterdir())) <= 2
+
+
+def test_old_panes_go_and_late_events_of_those_days_are_left_out(spark, tmp_path):
+    day = 86_400
+    batches = [[("m", u, 0) for u in "abc"], [("m", u, 40 * day) for u in "abc"], [("m", "d", 1), ("n", "e", 40 * day)]]
+    schema = "mid string, uid string, evid string, itemid string, event_ts timestamp"
+    folder = str(tmp_path / "in")
+    for events in batches:
+        frame = spark.createDataFrame([(m, u, "coupon", "i", at(s)) for m, u, s in events], schema)
+        frame.coalesce(1).write.mode("append").parquet(folder)
+    stream = file_stream(spark, folder + "/", spark.createDataFrame([], schema).schema, files_per_trigger=1)
+    table = streaming.AlertTable(str(tmp_path / "alerts"), keep_seconds=7 * day, fold_every=2)
+    streaming.drain(streaming.alert_stream(stream, table, str(tmp_path / "cp"), 300, 300))
+    table.panes.fold_in(spark)
+    panes = table.panes.versions(spark)
+    # the panes of the first day went; its alert stays, and the late event did not touch it
+    assert panes.agg(F.min("span")).first()[0] > at(30 * day).timestamp()
+    found = sorted((r["mid"], r["coupon_uids"], r["window_start"]) for r in table.read(spark).collect())
+    assert found == [("m", 3, at(0)), ("m", 3, at(40 * day))]
+
+
 def test_orders_and_users(spark, small_dir, tmp_path):
     names = ["id", "user_id", "order_status", "total_amount", "consignee_tel", "create_time"]
     orders = ent.order_info(ent.table(spark, small_dir, "orders"))
@@ -237,25 +273,98 @@ def test_order_decides_before_the_batch(spark, tmp_path):
 def test_an_unfinished_compaction_is_ignored(spark, tmp_path):
     table = KeyedTable(str(tmp_path), PAIR, ("k",))
     table.upsert(pairs(spark, ("a", 1)), 0, unique=True)
-    (tmp_path / "base" / "batch_id=9").mkdir(parents=True)
-    assert rows(table.read(spark)) == [("a", 1)]
+    table.upsert(pairs(spark, ("a", 2)), 1, unique=True)
+    table.compact(spark)
+    # the base is written, its manifest is not complete
+    (tmp_path / "manifest" / "1" / "_SUCCESS").unlink()
+    assert rows(table.read(spark)) == [("a", 2)]
+    table.upsert(pairs(spark, ("b", 3)), 2, unique=True)
+    table.compact(spark)
+    assert rows(table.read(spark)) == [("a", 2), ("b", 3)]
 
 
 def test_an_unfinished_change_is_ignored(spark, tmp_path):
     table = KeyedTable(str(tmp_path), PAIR, ("k",))
     table.upsert(pairs(spark, ("a", 1)), 0, unique=True)
-    table.upsert(pairs(spark, ("a", 2)), 1, unique=True)
-    (tmp_path / "changes" / "batch_id=1" / "_SUCCESS").unlink()
+    table.upsert(pairs(spark, ("a", 2), ("z", 2)), 1, unique=True)
+    (mark,) = (tmp_path / "commits" / "0").glob("1-*")
+    mark.unlink()
     assert rows(table.read(spark)) == [("a", 1)]
+    # the batch runs again, with other rows: nothing of the first attempt shows
+    table.upsert(pairs(spark, ("a", 3)), 1, unique=True)
+    assert rows(table.read(spark)) == [("a", 3)]
 
 
 def test_batches_compact_the_table_and_remove_what_is_covered(spark, tmp_path):
-    table = KeyedTable(str(tmp_path), PAIR, ("k",), compact_every=2)
+    table = KeyedTable(str(tmp_path), PAIR, ("k",), compact_every=2, buckets=4)
     for n in range(7):
         table.upsert(pairs(spark, ("a", n), (f"b{n}", n)), n, unique=True)
     assert rows(table.read(spark)) == sorted([("a", 6)] + [(f"b{n}", n) for n in range(7)])
-    assert sorted(p.name for p in (tmp_path / "base").iterdir()) == ["batch_id=3", "batch_id=5"]
-    assert sorted(p.name for p in (tmp_path / "changes").iterdir()) == ["batch_id=4", "batch_id=5", "batch_id=6"]
+    assert sorted(p.name for p in (tmp_path / "manifest").iterdir()) == ["3", "5"]
+    assert sorted(p.name for p in (tmp_path / "changes").iterdir()) == ["2", "3"]
+    # of every bucket there are at most the live version and the one before
+    assert all(len(list(b.glob("version=*"))) <= 2 for b in (tmp_path / "base").iterdir())
+
+
+def test_many_batches_are_one_flat_folder(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), PAIR, ("k",), compact_every=0)
+    for n in range(30):
+        table.upsert(pairs(spark, ("a", n), (f"b{n % 7}", n)), n, unique=True)
+    assert [p.name for p in (tmp_path / "changes").iterdir()] == ["0"]
+    assert not [p for p in (tmp_path / "changes" / "0").iterdir() if p.is_dir()]
+    assert len(list((tmp_path / "commits" / "0").glob("[0-9]*"))) == 30
+    assert rows(table.read(spark)) == [("a", 29), *sorted((f"b{n % 7}", n) for n in range(23, 30))]
+
+
+def test_only_touched_cells_are_read_and_written(spark, tmp_path):
+    day = T.StructField("day", T.DateType())
+    schema = T.StructType([day, *PAIR.fields])
+    table = KeyedTable(str(tmp_path), schema, ("day", "k"), partition_by=("day",), buckets=8)
+    first = spark.range(4000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("day"),
+        F.col("id").cast("string").alias("k"),
+        F.lit(0).alias("v"),
+    )
+    table.upsert(first, 0, unique=True)
+    table.compact(spark)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "base").rglob("*.parquet")}
+    one = first.filter("k = '50'")
+    table.upsert(one.withColumn("v", F.lit(1)), 1, unique=True)
+    table.compact(spark)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "base").rglob("*.parquet")}
+    new = set(after) - set(files)
+    assert len(new) == 1 and all(after[p] == files[p] for p in files)
+    assert spark.read.parquet(*map(str, new)).count() < 40  # of 4,000
+    assert table.read(spark).filter("v = 1").count() == 1 and table.read(spark).count() == 4000
+
+
+def test_odd_partition_values_survive_a_fold(spark, tmp_path):
+    schema = T.StructType([T.StructField("d", T.StringType()), *PAIR.fields])
+    table = KeyedTable(str(tmp_path), schema, ("d", "k"), partition_by=("d",), buckets=2)
+    found = [("a/b=c", "k", 1), (None, "k", 2), ("x y:%", None, 3), ("2024-01-01", "k", 4)]
+    for n in range(2):
+        table.upsert(spark.createDataFrame([(d, k, v + 10 * n) for d, k, v in found], schema), n, unique=True)
+        table.compact(spark)
+    assert rows(table.read(spark)) == rows(spark.createDataFrame([(d, k, v + 10) for d, k, v in found], schema))
+
+
+def test_a_look_up_reads_its_buckets_alone(spark, tmp_path):
+    users = streaming.user_table(str(tmp_path / "users"))
+    feed = spark.range(500).select(
+        F.col("id").cast("string").alias("id"), *[F.lit("x").alias(n) for n in USER.names if n != "id"]
+    )
+    users.upsert(feed, 0, unique=True)
+    users.compact(spark)
+    wanted = spark.createDataFrame([(7,), (9000,)], "id bigint")  # of another type than the stored ids
+    found = streaming.users_in(users)(wanted.select(F.col("id").cast("string").alias("id")))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        text = plan(found)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert [r["id"] for r in found.collect()] == ["7"]
+    read = set(re.findall(r"/bucket=(\d+)/", text))
+    assert 1 <= len(read) <= 2
 
 
 def test_a_batch_with_repeated_keys_needs_an_order(spark, tmp_path):
