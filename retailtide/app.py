@@ -24,7 +24,7 @@ from pyspark.sql import types as T  # noqa: E402
 from retailtide import streaming  # noqa: E402
 from retailtide.operators import dashboard, report  # noqa: E402
 from retailtide.operators.visits import with_log_time  # noqa: E402
-from retailtide.schemas import TOPICS  # noqa: E402
+from retailtide.schemas import BROKEN_TOPIC, TOPICS  # noqa: E402
 from retailtide.session import build_session, stored, use_utc  # noqa: E402
 from retailtide.sinks import archive_by_day, routed_files, routed_topics  # noqa: E402
 from retailtide.sources import file_stream, kafka_topic, parse_records, quarantined  # noqa: E402
@@ -73,7 +73,7 @@ class Shop:
 
     def routed(self, rows: DataFrame, job: str):
         if self.args.brokers:
-            names = {topic: self.args.prefix + topic for topic in TOPICS}
+            names = {topic: self.args.prefix + topic for topic in (*TOPICS, BROKEN_TOPIC)}
             return routed_topics(rows, self.args.brokers, self.checkpoint(job), names)
         return routed_files(rows, self.args.out, self.checkpoint(job))
 
@@ -118,11 +118,16 @@ class Shop:
         return streaming.alert_stream(events, self.alerts, self.checkpoint("alerts"))
 
     def job_quarantine(self):
-        """Texts that no other job can use, by topic."""
-        found = None
+        """Texts that no other job can use, by topic.
+
+        Raw texts come from ``BROKEN_TOPIC``, where the ``logs`` and ``changes`` jobs send them.
+        """
+        record = F.from_json("value", "source string, reason string, value string")
+        letters = self.raw(BROKEN_TOPIC).select(record.alias("r")).select(F.col("r.source").alias("topic"), "r.reason", "r.value")
+        found = letters
         for topic, schema in TOPICS.items():
             bad = quarantined(self.raw(topic), schema).select(F.lit(topic).alias("topic"), "reason", "value")
-            found = bad if found is None else found.union(bad)
+            found = found.union(bad)
         writer = found.writeStream.format("json").partitionBy("topic", "reason")
         return writer.option("path", self.args.out).option("checkpointLocation", self.checkpoint("quarantine"))
 

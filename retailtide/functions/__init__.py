@@ -13,7 +13,7 @@ from .time import (
     previous_day,
     stamp_arrival,
 )
-from .maps import last_values
+from .maps import last_values, no_repeats
 from .measure import age_band, money, one_decimal_percent
 from .plan import once
 
@@ -34,6 +34,7 @@ __all__ = [
     "mask_phone",
     "matches_all",
     "money",
+    "no_repeats",
     "once",
     "one_decimal_percent",
     "previous_day",

@@ -32,8 +32,11 @@ def last_values(entries: Column) -> Column:
         return bound(places, last)
 
     def as_map(found: Column) -> Column:
-        keys = F.transform(found, lambda e: e["key"])
-        plain = F.size(F.array_distinct(keys)) == F.size(found)
-        return F.map_from_entries(F.when(plain, found).otherwise(without_repeats(found)))
+        return F.map_from_entries(F.when(no_repeats(found["key"]), found).otherwise(without_repeats(found)))
 
     return bound(entries, as_map)
+
+
+def no_repeats(keys: Column) -> Column:
+    """Whether each key is there and stands once."""
+    return F.size(F.array_compact(F.array_distinct(keys))) == F.size(keys)

@@ -302,11 +302,12 @@ def bucket_counts(events: DataFrame, size: int, slide: int) -> DataFrame:
 def bucket_alerts(
     counts: DataFrame, size: int, slide: int, uids: int = MIN_UIDS
 ) -> tuple[DataFrame, DataFrame]:
-    """Alerts and documents, each with its ``bucket``, of whole buckets of :func:`bucket_counts`."""
+    """Alerts (persisted) and documents, each with its ``bucket``, of whole buckets of :func:`bucket_counts`."""
     slices = _Slices(size, slide)
     found = slices.profiles(counts, keep=is_alert(uids)).drop("clicked")
     bucket = _down(F.col("window_start"), slices.bucket)
-    alerts = with_alert_id(_window_times(found.withColumn("bucket", bucket), size))
+    # used twice: as they are, and to pick what goes into the documents
+    alerts = with_alert_id(_window_times(found.withColumn("bucket", bucket), size)).persist()
     marked = alerts.select("bucket", "alert_id", "mid", "ts", F.unix_seconds("window_start").alias("window_start"))
     able = counts.join(marked.select("bucket", "mid").distinct(), ["bucket", "mid"], "left_semi")
     documents = slices.windows(able).join(marked, ["window_start", "mid"])

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import streaming
-from ..schemas import EVENT, ORDER
+from ..schemas import BROKEN_TOPIC, EVENT, ORDER
 from ..session import use_utc, work_folder
 from ..sinks import archive_by_day, routed_files
 from ..sources import file_stream, parse_records
@@ -35,6 +35,9 @@ from .visits import ORACLE as VISIT_ORACLE
 # takes the defaults of its stream.
 ANY_DELAY = "20000 days"
 
+# How long after its event a log line arrives, where that shows.
+LATE_MS = 3_600_000
+
 # A live batch holds a few days, and a folder per day serves the reports. A replay
 # writes years in one batch, which would be thousands of folders with a file each.
 ONE_FOLDER: tuple[str, ...] = ()
@@ -72,6 +75,41 @@ def log_archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(per_day, "log_date")
 
 
+def log_archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archive holds: each record whole, its time replaced by that of its arrival."""
+    work = work_folder(spark, "log_archive")
+    raw = raw_logs(_stream(spark, sf_dir, "events"))
+    stamped = streaming.log_archive_stream(raw, F.col("arrived") + LATE_MS)
+    streaming.drain(archive_by_day(stamped, f"{work}/data", f"{work}/checkpoint"))
+    archive = spark.read.text(f"{work}/data")
+    records = parse_records(archive, EVENT, keep=("log_date",))
+    return _text(records, "log_date").select("log_date", "type", "mid", "uid", "evid", "ts")
+
+
+def raw_quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of both raw topics: errors and urgent orders come cut short, some orders without a type."""
+    work = work_folder(spark, "raw_quarantine")
+    value, evid = F.col("value"), F.get_json_object("value", "$.evid")
+    cut = F.expr("left(value, length(value) - 1)")
+    logs = raw_logs(_stream(spark, sf_dir, "events"))
+    logs = logs.withColumn("value", F.when(evid == "error", cut).otherwise(value))
+    names = ("orders", "lineitem", "customer")
+    raw = changes(*[_stream(spark, sf_dir, name) for name in names]).select(F.to_json(F.struct("*")).alias("value"))
+    kind = F.concat_ws(" ", F.get_json_object("value", "$.table"), F.get_json_object("value", "$.op"))
+    untyped = F.regexp_replace("value", '"entry_type":"[A-Z]*",', "")
+    raw = raw.withColumn("value", F.when(kind == "order_info INSERT", cut).when(kind == "order_info DELETE", untyped).otherwise(value))
+    for name, routed in (("logs", streaming.log_route_stream(logs, F.col("arrived"))), ("changes", streaming.change_stream(raw))):
+        streaming.drain(routed_files(routed, f"{work}/{name}", f"{work}/checkpoint-{name}"))
+    letters = spark.read.text([f"{work}/{name}/topic={BROKEN_TOPIC}" for name in ("logs", "changes")])
+    record = F.from_json("value", "source string, reason string, value string")
+    found = letters.select(record.alias("r")).select("r.*")
+    # the texts are no JSON, so the key is cut out of them
+    uid = F.regexp_extract("value", '"uid":"([0-9]+)"', 1)
+    order = F.regexp_extract("value", '"name":"id","value":"([0-9]+)"', 1)
+    key = F.when(F.col("source") == "raw_log", uid).otherwise(order)
+    return found.select("source", "reason", key.alias("key"))
+
+
 def log_route_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_folder(spark, "log_route")
     raw = raw_logs(_stream(spark, sf_dir, "events"))
@@ -166,6 +204,8 @@ QUERIES = {
     for f in (
         src_stream,
         log_archive_daily,
+        log_archive_lines,
+        raw_quarantine_stream,
         log_route_stream,
         cdc_stream,
         dau_stream,
@@ -181,6 +221,15 @@ ORACLE = {
     "src_stream": f"WITH {RAW_SQL} SELECT type, mid, uid, evid, ts FROM raw",
     "log_archive_daily": """
 SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS records FROM events GROUP BY ALL""",
+    "log_archive_lines": f"""
+WITH {RAW_SQL}
+SELECT strftime(make_timestamp((ts + {LATE_MS}) * 1000), '%Y-%m-%d') AS log_date, type, mid, uid, evid, ts + {LATE_MS} AS ts
+FROM raw""",
+    "raw_quarantine_stream": """
+SELECT 'raw_log' AS source, 'broken' AS reason, user_id::VARCHAR AS key FROM events WHERE event_type = 'error'
+UNION ALL
+SELECT 'raw_change', CASE o_orderstatus WHEN 'P' THEN 'no type' ELSE 'broken' END, o_orderkey::VARCHAR
+FROM orders WHERE o_orderstatus <> 'F'""",
     "log_route_stream": f"""
 WITH {RAW_SQL}
 SELECT CASE WHEN type = 'startup' THEN 'startup' ELSE 'event' END AS topic, mid, uid, evid, ts

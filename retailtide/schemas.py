@@ -9,42 +9,48 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _strings(names: str) -> list[T.StructField]:
-    return [T.StructField(name, T.StringType()) for name in names.split()]
+def _record(*names: str, **kinds: T.DataType) -> T.StructType:
+    """A record of these fields, texts unless ``kinds`` says otherwise."""
+    return T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in names])
 
 
-STARTUP = T.StructType(
-    _strings("mid uid appid area os ch type vs") + [T.StructField("ts", T.LongType())]
-)
+# The fields of each record, in its order.
+STARTUP = _record("mid", "uid", "appid", "area", "os", "ch", "type", "vs", "ts", ts=T.LongType())
 
-EVENT = T.StructType(
-    _strings("mid uid appid area os ch type evid pgid npgid itemid")
-    + [T.StructField("ts", T.LongType())]
+EVENT = _record(
+    "mid", "uid", "appid", "area", "os", "ch", "type", "evid", "pgid", "npgid", "itemid", "ts", ts=T.LongType()
 )
 
-ORDER = T.StructType(
-    _strings(
-        "id province_id consignee order_comment consignee_tel order_status payment_way user_id "
-        "img_url expire_time delivery_address create_time operate_time tracking_no "
-        "parent_order_id out_trade_no trade_body"
-    )
-    + [T.StructField("total_amount", T.DoubleType())]
+ORDER = _record(
+    "id",
+    "province_id",
+    "consignee",
+    "order_comment",
+    "consignee_tel",
+    "order_status",
+    "payment_way",
+    "user_id",
+    "img_url",
+    "total_amount",
+    "expire_time",
+    "delivery_address",
+    "create_time",
+    "operate_time",
+    "tracking_no",
+    "parent_order_id",
+    "out_trade_no",
+    "trade_body",
+    total_amount=T.DoubleType(),
 )
 
-ORDER_DETAIL = T.StructType(_strings("id order_id sku_name sku_id order_price img_url sku_num"))
+ORDER_DETAIL = _record("id", "order_id", "sku_name", "sku_id", "order_price", "img_url", "sku_num")
 
-USER = T.StructType(_strings("id login_name user_level birthday gender"))
+USER = _record("id", "login_name", "user_level", "birthday", "gender")
 
 # One committed row change of the shop database. ``rows`` holds the image after
 # the change, one list of columns per row.
-CHANGE = T.StructType(
-    _strings("entry_type table op")
-    + [
-        T.StructField(
-            "rows",
-            T.ArrayType(T.ArrayType(T.StructType(_strings("name value")))),
-        )
-    ]
+CHANGE = _record(
+    "entry_type", "table", "op", "rows", rows=T.ArrayType(T.ArrayType(_record("name", "value")))
 )
 
 # Logical topic -> record type. Physical topic names are an argument of the
@@ -57,11 +63,24 @@ TOPICS: dict[str, T.StructType] = {
     "user_info": USER,
 }
 
+# Where the ingest jobs send raw texts that they cannot read.
+BROKEN_TOPIC = "broken"
+
 # Stored columns of the visit table, in order.
-VISIT_COLUMNS = "mid uid appid area os ch type vs log_date log_hour ts".split()
+VISIT_COLUMNS = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "log_date", "log_hour", "ts"]
 
 # Stored columns of the wide sale table, in order.
-SALE_COLUMNS = (
-    "order_detail_id order_id order_status create_time user_id sku_id user_gender user_age "
-    "user_level sku_price sku_name dt"
-).split()
+SALE_COLUMNS = [
+    "order_detail_id",
+    "order_id",
+    "order_status",
+    "create_time",
+    "user_id",
+    "sku_id",
+    "user_gender",
+    "user_age",
+    "user_level",
+    "sku_price",
+    "sku_name",
+    "dt",
+]

@@ -1,6 +1,6 @@
 """Where rows come from: topics, file streams, tables, change records."""
 
-from .records import parse_changes, parse_records, quarantined, rejected_records
+from .records import open_changes, parse_changes, parse_records, quarantined, rejected_records
 from .tables import jdbc_table, on_day, parquet_table
 from .topics import file_stream, kafka_options, kafka_topic
 
@@ -11,6 +11,7 @@ __all__ = [
     "kafka_topic",
     "on_day",
     "parquet_table",
+    "open_changes",
     "parse_changes",
     "parse_records",
     "quarantined",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import once
 from ..schemas import CHANGE
@@ -60,6 +60,16 @@ def quarantined(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return opened.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
+def open_changes(raw: DataFrame) -> tuple[DataFrame, Column]:
+    """All change records with their raw ``text``, and why one cannot be used (null if it can).
+
+    ``broken`` is no JSON object, ``no type`` an object that does not say what it is.
+    """
+    opened = _parsed(raw.withColumn("text", F.col("value")), CHANGE, ("text",))
+    reason = F.when(F.col(BROKEN), "broken").when(F.col("entry_type").isNull(), "no type")
+    return opened, reason
+
+
 def parse_changes(raw: DataFrame) -> DataFrame:
     """Change records of the shop database from their JSON text."""
     return parse_records(raw, CHANGE)

@@ -147,6 +147,7 @@ def alert_stream(
         usable = batch.filter(F.col("mid").isNotNull() & F.col("event_ts").isNotNull())
         counts = table.in_time(bucket_counts(usable, size, slide)).persist()
         touched = counts.select("bucket").distinct().persist()
+        alerts = None
         try:
             table.panes.append(counts, batch_id)
             # the folders to look at, a number per day
@@ -158,7 +159,8 @@ def alert_stream(
             rows = alerts.withColumn("what", F.lit(ALERT)).unionByName(documents.withColumn("what", F.lit(DOCUMENT)), True)
             table.judged.append(rows.unionByName(marks, True), batch_id)
         finally:
-            touched.unpersist()
-            counts.unpersist()
+            for kept in (counts, touched, alerts):
+                if kept is not None:
+                    kept.unpersist()
 
     return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

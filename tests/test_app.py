@@ -44,6 +44,7 @@ def test_shop(spark, tmp_path):
     assert {p.parent.name for p in (tmp_path / "routed").rglob("*.txt")} == {
         "topic=startup",
         "topic=event",
+        "topic=broken",
     }
 
     # change records: routed to topics
@@ -60,6 +61,8 @@ def test_shop(spark, tmp_path):
                image(id="a", order_id="1", sku_name="Red Gear", order_price="2.5"),
                image(id="b", order_id="1", sku_name="Blue Gear", order_price="10.0")),
         change("user_info", "INSERT", image(id="u", gender="M", birthday="1990-01-01")),
+        '{"table":"order_info"}',
+        '["x"]',
     )
     run("changes", raw, tmp_path / "feeds")
     topics.mkdir()
@@ -79,6 +82,16 @@ def test_shop(spark, tmp_path):
     for job in ("users", "visits", "orders", "sales", "alerts"):
         run(job, topics)
 
+    # every text that some job could not use is in the quarantine
+    put(topics / "broken", *[line for p in (tmp_path).rglob("topic=broken/*.txt") for line in p.read_text().splitlines()])
+    run("quarantine", topics, tmp_path / "bad")
+    bad = sorted((p.parent.parent.name, p.parent.name, json.loads(line)["value"]) for p in (tmp_path / "bad").rglob("*.json") for line in p.read_text().splitlines())
+    assert bad == [
+        ("topic=raw_change", "reason=broken", '["x"]'),
+        ("topic=raw_change", "reason=no type", '{"table":"order_info"}'),
+        ("topic=raw_log", "reason=broken", "broken"),
+    ]
+
     totals = {t["id"]: t["value"] for t in answer("total", "--date", "2019-08-18")}
     assert totals == {"dau": 1.0, "new_mid": 1.0, "order_amount": 12.5}
     (hours,) = answer("hours", "--date", "2019-08-18")

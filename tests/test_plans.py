@@ -11,7 +11,7 @@ from retailtide.plans.registry import all_queries
 from retailtide.operators.latest import latest_by_key
 
 QUERIES = all_queries()
-BATCH = sorted(n for n in QUERIES if not n.endswith("_stream") and n != "log_archive_daily")
+BATCH = sorted(n for n in QUERIES if not n.endswith("_stream") and not n.startswith("log_archive"))
 
 
 @pytest.fixture
