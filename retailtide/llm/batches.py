@@ -40,6 +40,14 @@ def map_batches(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iter
     return frame.mapInArrow(run, schema)
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that ``frame`` does not have, whatever the case of its own."""
+    taken = {column.lower() for column in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def text_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of ``batch`` with about ``limit`` bytes of text, one row at least."""
     if not batch.num_rows:

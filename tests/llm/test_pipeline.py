@@ -70,7 +70,7 @@ def test_run_applies_all_stages(spark, small_dir, stages):
 
 def test_entry_registers_all():
     names = set(entry.queries())
-    assert set(QUERIES) | {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(entry.oracle_sql()) <= names
 
 
