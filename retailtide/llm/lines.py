@@ -1,17 +1,18 @@
 """Line dedup with DataFrame functions only: keep bitmaps of documents, and their use.
 
-Line keys are dealt out by ranges of (hash, document), so that even one
-line that fills the table is spread; each task streams its sorted range and keeps
-the first occurrence in each document. What comes out is small: the kept lines of
+Line keys are dealt out by ranges of (hash, document), so that even one line that fills the
+table is spread. Each task sorts its range by hash, document and position and streams the
+first occurrence in each document out of it; only these are counted. What comes out is small: the kept lines of
 a document as the ends of their runs. Texts are read again only where they are wanted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .batches import unused
 
 BLANKS = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,6 +38,16 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     return keyed.select("doc", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
 
 
+def first_in_document(found: DataFrame) -> DataFrame:
+    """Of :func:`occurrences` the first of each line in each document, streamed from sorted ranges.
+
+    Ranges hold whole (line, document) groups, so the window needs no other exchange, only its sort.
+    """
+    ranged = found.repartitionByRange("h1", "h2", "doc")
+    in_document = Window.partitionBy("h1", "h2", "doc").orderBy("pos")
+    return ranged.withColumn("nth", F.row_number().over(in_document)).filter("nth = 1").drop("nth")
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(doc, row, dropped): positions of the lines to drop, for each document that has any.
 
@@ -44,9 +55,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``min_docs`` or more documents, and this is not the one with the largest id.
     """
     found = stored(occurrences(docs, id_col, text_col, min_chars), "lines")
-    sorted_lines = found.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
-    first = sorted_lines.groupBy("h1", "h2", "doc").agg(F.min("pos").alias("pos"))
-    counted = first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
+    counted = first_in_document(found).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
     frequent = stored(counted.filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "line-keys")
     extra = found.join(frequent, ["h1", "h2"]).filter(~F.col("doc").eqNullSafe(F.col("keeper")))
     return extra.groupBy("doc", "row").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
@@ -78,16 +87,17 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def with_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``keep_runs`` (see :func:`run_ends`) of each row.
 
-    Columns of ``docs`` with these names are replaced.
+    Columns of ``docs`` with these names are replaced; all others stay, whatever their names.
     """
     found = dropped_lines(docs, id_col, text_col, min_chars, min_docs)
-    found = found.withColumnsRenamed({"doc": "_doc", "row": "_row"})
     kept = docs.drop("n_lines", "n_dropped", "keep_runs")
-    joined = kept.join(found, F.col(id_col).eqNullSafe(F.col("_doc")) & (_row_key(F.col(text_col)) == F.col("_row")), "left")
+    doc, row, gone = (unused(kept, name) for name in ("doc", "row", "dropped"))
+    found = found.withColumnsRenamed({"doc": doc, "row": row, "dropped": gone})
+    joined = kept.join(found, F.col(id_col).eqNullSafe(F.col(doc)) & (_row_key(F.col(text_col)) == F.col(row)), "left")
     n_lines = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
-    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    counted = joined.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": F.size(dropped).cast("long"), "_dropped": dropped})
-    return counted.withColumn("keep_runs", run_ends(F.col("n_lines"), F.col("_dropped"))).select(*kept.columns, "n_lines", "n_dropped", "keep_runs")
+    dropped = F.coalesce(gone, F.array().cast("array<int>"))
+    counted = joined.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": F.size(dropped).cast("long"), gone: dropped})
+    return counted.withColumn("keep_runs", run_ends(F.col("n_lines"), F.col(gone))).select(*kept.columns, "n_lines", "n_dropped", "keep_runs")
 
 
 def kept_text(text: Column, keep_runs: Column) -> Column:

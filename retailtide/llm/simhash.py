@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_folder, stored, work_folder
-from .batches import map_batches, text_slices
+from .batches import map_batches, text_slices, unused
 
 BITS = 64
 #: A key under which more fingerprints lie is divided by further bits before any
@@ -202,12 +202,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each group of near copies: that of the smallest id.
 
     A null id comes after all others; of rows with one id, that of the smallest text hash
-    stays, and of equal rows one. Columns stay as they are.
+    stays, and of equal rows one. Columns may have any names and stay as they are; null and empty
+    texts are one group. An empty table stays empty.
     """
+    row, gone_row = unused(docs, "row"), unused(docs, "gone")
     text_hash = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    named = docs.withColumn("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_hash.alias("text_hash")))
-    found = near_copies(named.select("_row", text_col), "_row", text_col, words, max_bits)
-    gone = found.filter("_row <> component_id").select(F.col("_row").alias("_gone")).distinct()
+    named = docs.withColumn(row, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_hash.alias("text_hash")))
+    found = near_copies(named.select(row, text_col), row, text_col, words, max_bits)
+    gone = found.filter(F.col(row) != F.col("component_id")).select(F.col(row).alias(gone_row)).distinct()
     # by the whole key, so that neither side can pile up on null ids
-    kept = named.join(gone, named["_row"] == gone["_gone"], "left_anti")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    kept = named.join(gone, F.col(row) == F.col(gone_row), "left_anti")
+    return kept.dropDuplicates([row]).select(*docs.columns)

@@ -1,6 +1,7 @@
 """Line dedup: contract cases against plain Python, bitmaps, and a plan without Python."""
 
 import hashlib
+import re
 from collections import defaultdict
 
 from helpers import plan
@@ -80,3 +81,26 @@ def test_edge_rows(documents):
 def test_no_python_and_no_cross_join(spark, small_dir):
     text = plan(op9_lines(spark, small_dir))
     assert not any(word in text for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+def test_first_occurrences_come_from_the_sorted_range(spark, documents):
+    found = lines.occurrences(documents((1, "x\ny\nx"), (2, "x"), (2, "x")), "doc_id", "text", 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(lines.first_in_document(found))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Exchange") == 1 and "rangepartitioning(h1" in text and "Python" not in text
+    assert re.search(r"Sort \[h1#\d+L ASC NULLS FIRST, h2#\d+L ASC NULLS FIRST, doc#\d+L ASC NULLS FIRST, pos#\d+ ASC", text)
+    assert sorted((r["doc"], r["pos"]) for r in lines.first_in_document(found).collect()) == [(1, 0), (1, 1), (2, 0)]
+
+
+def test_columns_of_any_name_stay(documents):
+    line = "a line of more than forty characters, as often as there are documents"
+    rows = documents(*[(i, f"{line}\n{i}") for i in range(6)])
+    names = ["doc", "row", "dropped", "_doc", "_row", "_dropped", "Row"]
+    for name in names:
+        clash = rows.withColumn(name, rows["lang"])
+        found = lines.with_bitmaps(clash)
+        assert found.columns == [*clash.columns, "n_lines", "n_dropped", "keep_runs"]
+        assert sorted((r["doc_id"], r["n_dropped"], r[name]) for r in found.collect()) == [(i, int(i < 5), "en") for i in range(6)]

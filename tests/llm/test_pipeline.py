@@ -80,3 +80,13 @@ def test_stages_take_empty_tables_and_nulls(spark, documents, small_dir, stage):
     rows = documents((None, None), (None, "x y z"), (1, ""), (2, None), (2, None))
     found = stage(spark, rows.withColumn("extra", rows["lang"]), small_dir)
     assert found.count() > 0
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]])
+def test_stages_leave_columns_of_any_name_and_take_long_texts(spark, documents, small_dir, stage):
+    rows = documents((1, "plain words of a text " * 40_000), (2, "some other words"), (2, "some other words"), (None, None))
+    for name in ("row", "gone", "leaked", "score", "doc", "dropped", "_row", "_score", "_leaked"):
+        rows = rows.withColumn(name, rows["lang"])
+    found = stage(spark, rows, small_dir)
+    assert found.columns == rows.columns
+    assert all(r["row"] == r["gone"] == r["_row"] == r["_score"] == r["score"] == "en" for r in found.collect())
