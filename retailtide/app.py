@@ -12,6 +12,7 @@ tables below ``--tables``.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 import sys
 
@@ -42,6 +43,7 @@ class Shop:
         self.spark, self.args = use_utc(spark), args
         tables = args.tables.rstrip("/")
         self.visits = streaming.visit_table(f"{tables}/visits")
+        self.devices = streaming.device_table(f"{tables}/devices")
         self.orders = streaming.order_table(f"{tables}/orders")
         self.users = streaming.user_table(f"{tables}/users")
         self.sales = streaming.sale_table(f"{tables}/sales")
@@ -93,7 +95,8 @@ class Shop:
 
     def job_visits(self):
         logs = with_log_time(self.records("startup"))
-        return streaming.visit_stream(logs, self.visits, self.checkpoint("visits"), tie_break=VERSION)
+        checkpoint = self.checkpoint("visits")
+        return streaming.visit_stream(logs, self.visits, checkpoint, VERSION, self.devices)
 
     def job_orders(self):
         orders = self.records("order")
@@ -133,17 +136,23 @@ class Shop:
 
     # ---- answers ----
 
+    def _days(self, *days: str) -> tuple[DataFrame, DataFrame]:
+        """Visits and orders of some days; the folders of others are not listed."""
+        visits = self.visits.read(self.spark, where=F.col("log_date").cast("string").isin(*days))
+        return visits, self.orders.read(self.spark, where=F.col("create_date").isin(*days))
+
     def answer_total(self) -> DataFrame:
-        visits, orders = self.visits.read(self.spark), self.orders.read(self.spark)
-        return dashboard.day_totals(visits, orders, self.args.date)
+        day = self.args.date
+        return dashboard.day_totals(*self._days(day), day, self.devices.new_on(self.spark, day))
 
     def answer_hours(self) -> DataFrame | None:
-        visits, orders = self.visits.read(self.spark), self.orders.read(self.spark)
+        day = dt.date.fromisoformat(self.args.date)
+        visits, orders = self._days(str(day), str(day - dt.timedelta(days=1)))
         compared = dashboard.compare_hours(self.args.metric, visits, orders, self.args.date)
         return None if compared is None else dashboard.hour_maps(compared)
 
     def answer_sales(self) -> DataFrame:
-        lines = self.sales.read(self.spark)
+        lines = self.sales.read(self.spark, where=F.col("dt") == self.args.date)
         hits = stored(report.search(lines, self.args.date, self.args.keyword), "hits")
         return report.report(hits, self.args.page, self.args.size)
 

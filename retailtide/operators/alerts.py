@@ -293,6 +293,39 @@ def alert_documents(
     )
 
 
+def alert_events(
+    events: DataFrame,
+    alerts: DataFrame,
+    size: int = WINDOW_SECONDS,
+    slide: int = SLIDE_SECONDS,
+    tie_break: str = "event_id",
+) -> DataFrame:
+    """(alert_id, mid, ts, position, evid, tie_break): the events behind each alert, numbered from 1 as they came.
+
+    Events of one time go by ``tie_break``. They are numbered pane by pane, and panes by what came
+    before them in their bucket, so no more than a device's events of one pane meet in a
+    task, however long the window. ``alerts`` are stored ones: they are used several times.
+    """
+    slices = _Slices(size, slide)
+    start = F.unix_seconds("window_start")
+    marked = alerts.select("alert_id", "mid", "ts", start.alias("window_start"))
+    marked = marked.withColumn("bucket", _down(F.col("window_start"), slices.bucket))
+    chosen = slices.of_devices(events, marked.select("bucket", "mid").distinct())
+    upto = Window.unboundedPreceding
+    in_pane = Window.partitionBy("bucket", "mid", "pane").orderBy("event_ts", tie_break).rowsBetween(upto, 0)
+    numbered = chosen.select("bucket", "mid", "pane", "evid", tie_break, F.count("*").over(in_pane).alias("number"))
+    counts = chosen.groupBy("bucket", "mid", "pane").agg(F.count("*").alias("n"))
+    panes = Window.partitionBy("bucket", "mid").orderBy("pane").rowsBetween(upto, -1)
+    before = counts.select("bucket", "mid", "pane", F.coalesce(F.sum("n").over(panes), F.lit(0)).alias("before"))
+    inside = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_start") + size)
+    # what had come when the window began
+    reached = marked.join(before, ["bucket", "mid"]).filter(inside)
+    first = reached.groupBy("bucket", "mid", "window_start").agg(F.min("before").alias("base"))
+    own = reached.join(first, ["bucket", "mid", "window_start"]).withColumn("skipped", F.col("before") - F.col("base"))
+    found = own.join(numbered, ["bucket", "mid", "pane"])
+    return found.select("alert_id", "mid", "ts", (F.col("skipped") + F.col("number")).alias("position"), "evid", tie_break)
+
+
 def bucket_counts(events: DataFrame, size: int, slide: int) -> DataFrame:
     """(bucket, pane, mid, kind, value, n): what a table of panes takes in."""
     slices = _Slices(size, slide)

@@ -67,13 +67,22 @@ def hour_maps(compared: DataFrame) -> DataFrame:
     return compared.agg(by_hour("today"), by_hour("yesterday"))
 
 
-def day_totals(visits: DataFrame, orders: DataFrame, day: str) -> DataFrame:
-    """(id, name, value): visitors, new devices and sales of a day."""
+def day_totals(visits: DataFrame, orders: DataFrame, day: str, new: DataFrame | None = None) -> DataFrame:
+    """(id, name, value): visitors, new devices and sales of a day.
+
+    ``new`` has a row per new device of the day; without it the first days come from all visits.
+    """
     date = F.lit(day).cast("date")
-    devices = device_days(visits, date).agg(
-        F.count_if("on_day").cast("double").alias("dau"),
-        F.count_if(F.col("first_date") == date).cast("double").alias("new_mid"),
-    )
+    if new is None:
+        devices = device_days(visits, date).agg(
+            F.count_if("on_day").cast("double").alias("dau"),
+            F.count_if(F.col("first_date") == date).cast("double").alias("new_mid"),
+        )
+    else:
+        # two counts of one day each, laid over one another
+        seen = visits.filter(F.col("log_date") == date).select("mid").distinct()
+        both = seen.select(F.lit(1.0).alias("dau")).unionByName(new.select(F.lit(1.0).alias("new_mid")), True)
+        devices = both.agg(*[F.coalesce(F.sum(name), F.lit(0.0)).alias(name) for name in ("dau", "new_mid")])
     amount = orders.filter(F.col("create_date").try_cast("date") == date).agg(
         F.sum(money(F.col("total_amount"))).cast("double").alias("order_amount")
     )

@@ -53,6 +53,12 @@ def coupon_alert_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_documents(_events(spark, sf_dir), found, SIZE, SLIDE)
 
 
+def coupon_alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of each alert, in their order."""
+    found = stored(_alerts(spark, sf_dir), "alerts")
+    return alerts.alert_events(_events(spark, sf_dir), found, SIZE, SLIDE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,6 +67,7 @@ QUERIES = {
         coupon_alert,
         coupon_alert_dedup,
         coupon_alert_document,
+        coupon_alert_events,
     )
 }
 
@@ -71,7 +78,7 @@ ev AS (
   SELECT (user_id // 15)::VARCHAR AS mid, user_id::VARCHAR AS uid,
          CASE event_type WHEN 'view' THEN 'coupon' WHEN 'purchase' THEN 'clickItem'
                          ELSE event_type END AS evid,
-         json_extract_string(props, '$.k') AS itemid, ts
+         json_extract_string(props, '$.k') AS itemid, ts, event_id
   FROM events
 ),
 win AS (
@@ -119,6 +126,11 @@ WITH {windows_sql(DEDUP_SIZE, DEDUP_SLIDE)}, latest AS (
   QUALIFY row_number() OVER (PARTITION BY alert_id ORDER BY window_end DESC) = 1
 )
 SELECT {ALERT_COLUMNS} FROM latest""",
+    "coupon_alert_events": f"""
+WITH {windows_sql(SIZE, SLIDE)}
+SELECT a.alert_id, a.mid, a.ts, w.evid, w.event_id,
+       row_number() OVER (PARTITION BY a.mid, a.window_start ORDER BY w.ts, w.event_id) AS position
+FROM alert a JOIN win w ON w.window_start = a.window_start AND w.mid = a.mid""",
     "coupon_alert_document": f"""
 WITH {windows_sql(SIZE, SLIDE)}, held AS (
   SELECT a.alert_id, a.mid, a.ts, w.evid, w.uid, w.itemid

@@ -62,9 +62,12 @@ def user_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers repeat within an order: the last one to arrive stays."""
-    details = order_detail(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    parts = table(spark, sf_dir, "part")
+    # names are added to the rows that stay
+    details = order_detail(table(spark, sf_dir, "lineitem"), parts.limit(0)).drop("sku_name")
     latest = latest_by_key(details, ["order_id", "line_number"], ["detail_ts", "id", "order_price"])
-    return latest.select("order_id", "line_number", "id", "sku_name", "order_price")
+    names = parts.select(F.col("p_partkey").cast("string").alias("sku_id"), F.col("p_name").alias("sku_name"))
+    return latest.join(names, "sku_id", "left").select("order_id", "line_number", "id", "sku_name", "order_price")
 
 
 QUERIES = {

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import report, sales
+from ..functions import matches_all
+from ..operators import report, sales, search
 from ..operators.orders import enrich_orders
 from ..schemas import SALE_COLUMNS
 from ..session import stored
@@ -14,29 +15,43 @@ from .orders import DETAILS_SQL, KNOWN_SQL, ORDERS_SQL
 DAY = "1998-05-07"
 KEYWORD = "red"
 PAGE, PAGE_SIZE = 2, 3
+DEEP_PAGE, DEEP_SIZE = 2_500, 8
+INDEX_DAY, INDEX_KEYWORD = "1997-01-15", "plate red"
 
 
-def _details(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
-    return order_detail(lines_of(spark, sf_dir, day), table(spark, sf_dir, "part"))
+def _details(spark: SparkSession, sf_dir: str, day: str | None = None, keyword: str | None = None) -> DataFrame:
+    """Order details; with ``keyword`` those of products whose name has all its words."""
+    parts, lines = table(spark, sf_dir, "part"), lines_of(spark, sf_dir, day)
+    if keyword is not None:
+        # names belong to products: few texts are looked at, and few lines go on
+        parts = parts.filter(matches_all(F.col("p_name"), keyword))
+        lines = lines.join(parts.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+    return order_detail(lines, parts)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_info(without_debt(table(spark, sf_dir, "customer")))
 
 
-def _wide(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
-    """The wide table; with ``day`` only that day's orders are read.
+def _wide(spark: SparkSession, sf_dir: str, day: str | None = None, keyword: str | None = None) -> DataFrame:
+    """The wide table; with ``day`` only that day's orders are read, with ``keyword`` only its products' lines.
 
     An order has one creation day, so cutting the order scan to a day gives
     exactly that day's lines.
     """
     orders = enrich_orders(order_info(orders_of(spark, sf_dir, day)))
-    details, users = _details(spark, sf_dir, day), _users(spark, sf_dir)
+    details, users = _details(spark, sf_dir, day, keyword), _users(spark, sf_dir)
     return sales.sale_lines(orders, details, users, AS_OF, columns=SALE_COLUMNS)
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.search(_wide(spark, sf_dir, DAY), DAY, KEYWORD)
+    return _wide(spark, sf_dir, DAY, KEYWORD).filter(F.col("dt") == DAY)
+
+
+def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All wide lines, stored, and the index over their words."""
+    lines = stored(_wide(spark, sf_dir), "lines")
+    return lines, search.stored_index(lines)
 
 
 def order_detail_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +91,17 @@ def sale_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.page(_hits(spark, sf_dir), PAGE, PAGE_SIZE)
 
 
+def sale_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword of several words, by the index; no text is looked at."""
+    lines, index = _index(spark, sf_dir)
+    return search.indexed(lines, index, INDEX_DAY, INDEX_KEYWORD)
+
+
+def sale_search_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far down, over the lines of all days."""
+    return report.deep_page(_wide(spark, sf_dir), DEEP_PAGE, DEEP_SIZE)
+
+
 def gender_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.gender_terms(_wide(spark, sf_dir, DAY))
 
@@ -121,6 +147,8 @@ QUERIES = {
         sale_search,
         sale_search_total,
         sale_search_page,
+        sale_search_index,
+        sale_search_deep_page,
         gender_terms,
         age_terms,
         gender_share,
@@ -203,6 +231,13 @@ FROM ord o LEFT JOIN usr ON usr.id = o.user_id""",
     "sale_search_page": f"""
 WITH {WIDE_SQL}
 SELECT * FROM hits ORDER BY order_detail_id LIMIT {PAGE_SIZE} OFFSET {(PAGE - 1) * PAGE_SIZE}""",
+    "sale_search_index": f"""
+WITH {WIDE_SQL}
+SELECT * FROM wide
+WHERE dt = '{INDEX_DAY}' AND list_has_all(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), {INDEX_KEYWORD.split()})""",
+    "sale_search_deep_page": f"""
+WITH {WIDE_SQL}
+SELECT * FROM wide ORDER BY order_detail_id LIMIT {DEEP_SIZE} OFFSET {(DEEP_PAGE - 1) * DEEP_SIZE}""",
     "gender_terms": f"""
 WITH {WIDE_SQL}
 SELECT user_gender, count(*) AS hits FROM wide WHERE dt = '{DAY}' AND user_gender IS NOT NULL

@@ -11,7 +11,7 @@ from .. import streaming
 from ..schemas import BROKEN_TOPIC, EVENT, ORDER
 from ..session import use_utc, work_folder
 from ..sinks import archive_by_day, routed_files
-from ..sources import file_stream, parse_records
+from ..sources import file_stream, parse_records, replay_in_order
 from . import alerts as alert_plans
 from .entities import (
     AS_OF,
@@ -31,9 +31,8 @@ from .orders import ORACLE as ORDER_ORACLE
 from .sales import ORACLE as SALE_ORACLE
 from .visits import ORACLE as VISIT_ORACLE
 
-# The tables are not in time order, so a replay allows for any delay. A live job
-# takes the defaults of its stream.
-ANY_DELAY = "20000 days"
+# Micro-batches of a replay in time order, which the tables themselves are not in.
+BATCHES = 6
 
 # How long after its event a log line arrives, where that shows.
 LATE_MS = 3_600_000
@@ -163,23 +162,39 @@ def user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sale_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds in time order, in several batches, with the job's own delay and hour."""
     work = work_folder(spark, "sale")
     lines = streaming.sale_table(f"{work}/sales", ONE_FOLDER)
-    parts = table(spark, sf_dir, "part")
+    orders = order_info(table(spark, sf_dir, "orders"))
+    details = order_detail(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    feeds = replay_in_order({"orders": (orders, "order_ts"), "details": (details, "detail_ts")}, work, BATCHES)
+    users = user_info(without_debt(table(spark, sf_dir, "customer")))
     streaming.drain(
         streaming.sale_stream(
-            order_info(_stream(spark, sf_dir, "orders")),
-            order_detail(_stream(spark, sf_dir, "lineitem"), parts),
-            lambda ids: user_info(without_debt(table(spark, sf_dir, "customer"))).join(ids, "id", "left_semi"),
+            feeds["orders"],
+            feeds["details"],
+            lambda ids: users.join(ids, "id", "left_semi"),
             lines,
             f"{work}/checkpoint",
-            delay=ANY_DELAY,
             as_of=AS_OF,
         )
     )
     return lines.read(spark)
 
 
+def new_devices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New devices by day, from the view that the visit job keeps; the logs come in no order."""
+    work = work_folder(spark, "new_devices")
+    visits, devices = streaming.visit_table(f"{work}/visits", ONE_FOLDER), streaming.device_table(f"{work}/devices")
+    events = table(spark, sf_dir, "events")
+    # batches by a number that has nothing to do with time
+    mixed = events.withColumn("turn", F.timestamp_seconds(F.col("event_id") % 997))
+    logs = replay_in_order({"events": (mixed, "turn")}, work, BATCHES)["events"]
+    streaming.drain(streaming.visit_stream(startup_log(logs), visits, f"{work}/checkpoint", ("event_id",), devices))
+    found = devices.new.read(spark).filter("is_new").groupBy("first_date").agg(F.count("*").alias("new_devices"))
+    return _text(found, "first_date")
+
+
 def _alert_stream(spark: SparkSession, sf_dir: str) -> streaming.AlertTable:
     work = work_folder(spark, "alert")
     found = streaming.alert_table(f"{work}/alerts")
@@ -212,6 +227,7 @@ QUERIES = {
         order_stream,
         user_stream,
         sale_stream,
+        new_devices_stream,
         coupon_alert_stream,
         coupon_alert_document_stream,
     )
@@ -243,6 +259,9 @@ FROM ({ORDER_ORACLE['order_enriched']}) o""",
     "user_stream": f"""
 SELECT id, login_name, user_level FROM ({ORDER_ORACLE['user_latest']}) u""",
     "sale_stream": SALE_ORACLE["sale_detail_wide"],
+    "new_devices_stream": """
+SELECT strftime(first, '%Y-%m-%d') AS first_date, count(*) AS new_devices
+FROM (SELECT user_id, min(ts) AS first FROM events GROUP BY user_id) GROUP BY 1""",
     "coupon_alert_stream": alert_plans.ORACLE["coupon_alert"],
     "coupon_alert_document_stream": alert_plans.ORACLE["coupon_alert_document"],
 }

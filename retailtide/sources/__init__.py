@@ -2,7 +2,7 @@
 
 from .records import open_changes, parse_changes, parse_records, quarantined, rejected_records
 from .tables import jdbc_table, on_day, parquet_table
-from .topics import file_stream, kafka_options, kafka_topic
+from .topics import file_stream, kafka_options, kafka_topic, replay_in_order
 
 __all__ = [
     "file_stream",
@@ -16,4 +16,5 @@ __all__ = [
     "parse_records",
     "quarantined",
     "rejected_records",
+    "replay_in_order",
 ]

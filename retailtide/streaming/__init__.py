@@ -3,6 +3,8 @@
 from .alerts import AlertTable, alert_stream, alert_table
 from .ingest import change_stream, log_archive_stream, log_route_stream
 from .jobs import (
+    DeviceTable,
+    device_table,
     order_stream,
     order_table,
     sale_stream,
@@ -17,9 +19,11 @@ from .run import drain, every
 
 __all__ = [
     "AlertTable",
+    "DeviceTable",
     "alert_stream",
     "alert_table",
     "change_stream",
+    "device_table",
     "drain",
     "every",
     "log_archive_stream",

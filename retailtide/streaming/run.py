@@ -12,6 +12,8 @@ def every(writer: DataStreamWriter, interval: str = TRIGGER) -> StreamingQuery:
     return writer.trigger(processingTime=interval).start()
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Process what the source holds now, then stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def drain(writer: DataStreamWriter) -> StreamingQuery:
+    """Process what the source holds now, then stop. The query's progress tells how it went."""
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query

@@ -17,7 +17,7 @@ from retailtide.plans import entities as ent
 from retailtide.schemas import ORDER, SALE_COLUMNS, USER, VISIT_COLUMNS
 from retailtide.session import work_folder
 from retailtide.sinks import KeyedTable
-from retailtide.sources import file_stream
+from retailtide.sources import file_stream, replay_in_order
 
 FILES = 4
 
@@ -105,6 +105,42 @@ def test_sale_lines(spark, small_dir, tmp_path, salts):
     assert rows(table.read(spark)) == rows(batch)
 
 
+def test_a_replay_in_order_keeps_an_hour_of_state(spark, small_dir, tmp_path):
+    orders, details, users = sale_frames(spark, small_dir)
+    batch = sale_lines(enrich_orders(orders), details, users, ent.AS_OF, columns=SALE_COLUMNS)
+    feeds = replay_in_order({"o": (orders, "order_ts"), "d": (details, "detail_ts")}, str(tmp_path / "in"), 12)
+    table = streaming.sale_table(str(tmp_path / "sales"), ())
+    query = streaming.drain(
+        streaming.sale_stream(feeds["o"], feeds["d"], lambda _: users, table, str(tmp_path / "cp"), "1 minute", 600, ent.AS_OF, 1)
+    )
+    progress = [p for p in query.recentProgress if p["stateOperators"]]
+    assert sum(p["numInputRows"] > 0 for p in progress) >= 4
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+    removed = sum(p["stateOperators"][0]["numRowsRemoved"] for p in progress)
+    total = orders.count() + details.count()
+    # a slice and the minutes before it, not the whole of both feeds
+    assert max(kept) < 0.6 * total and kept[-1] < 0.25 * total and removed > 0.7 * total
+    near = F.abs(F.unix_seconds("order_ts") - F.unix_seconds("detail_ts")) <= 600
+    met = orders.select(F.col("id").alias("order_id"), "order_ts").join(details, "order_id").filter(near)
+    assert 0 < met.count() < batch.count()
+    assert rows(table.read(spark).select("order_detail_id")) == rows(met.select(F.col("id").alias("order_detail_id")))
+
+
+def test_first_days_move_to_earlier_ones(spark, tmp_path):
+    devices = streaming.device_table(str(tmp_path))
+    day = lambda n: dt.date(2024, 1, n)
+    batches = [[("a", 5), ("b", 5), ("a", 7)], [("a", 3), ("c", 5), (None, 2)], [("a", 4), ("b", 9), ("c", 5), (None, 1)]]
+    for number, found in enumerate(batches):
+        frame = spark.createDataFrame([(m, day(d)) for m, d in found], "mid string, log_date date")
+        devices.add(frame, number)
+        if number == 1:
+            devices.add(frame, number)  # run again
+            devices.seen.compact(spark)
+            devices.new.compact(spark)
+    new = {d: sorted(str(r[0]) for r in devices.new_on(spark, str(day(d))).collect()) for d in range(1, 10)}
+    assert {d: m for d, m in new.items() if m} == {1: ["None"], 3: ["a"], 5: ["b", "c"]}
+
+
 def at(seconds):
     return dt.datetime(2019, 8, 18, 12) + dt.timedelta(seconds=seconds)
 
