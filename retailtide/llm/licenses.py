@@ -4,11 +4,13 @@ Of each window of neighbouring word runs of a template the smallest hash is kept
 (winnowing), so that any stretch of ``RUN + WINDOW - 1`` words that a text shares with a
 template holds an indexed run. Runs of a text that the index knows pick a template and a
 place in the text; there the two are aligned, word by word, in a band around the diagonals
-of the runs. The alignment gives the matched share of the template and the span.
+of the runs. The alignment gives the matched share of the template and the span; of templates
+that claim one span the best stays, and none whose version differs.
 """
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,11 +41,11 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met"
     ),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "ISC grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
     ),
     "MIT": "Released under the MIT License.",
     "MIT grant": (
@@ -52,7 +54,54 @@ TEMPLATES = {
         "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
         "whom the Software is furnished to do so"
     ),
+    "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: Licenses of one wording, by family, name and version.
+GNU = (
+    ("GPL", "General Public License", "program", ("1", "2", "3")),
+    ("LGPL", "Lesser General Public License", "library", ("2.1", "3")),
+    ("AGPL", "Affero General Public License", "program", ("3",)),
+)
+CREATIVE_COMMONS = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+CREATIVE_COMMONS_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+
+for _family, _name, _work, _versions in GNU:
+    for _version in _versions:
+        _key = f"{_family}-{_version}" if "." in _version else f"{_family}-{_version}.0"
+        TEMPLATES[_key] = f"This work is licensed under the GNU {_name}, version {_version}."
+        TEMPLATES[f"{_key} name"] = f"GNU {_name}, version {_version}"
+        TEMPLATES[f"{_key} header"] = (
+            f"This {_work} is free software: you can redistribute it and/or modify it under the terms of the GNU {_name} as published "
+            f"by the Free Software Foundation, either version {_version} of the License, or (at your option) any later version."
+        )
+for _kind in CREATIVE_COMMONS:
+    for _version in CREATIVE_COMMONS_VERSIONS:
+        TEMPLATES[f"CC-{_kind}-{_version}"] = f"Licensed under CC {_kind} {_version}."
+
+
+def version_runs(text: str, words: np.ndarray) -> list[tuple[int, ...]]:
+    """The runs of neighbouring words of ``text`` that are numbers, as hashes."""
+    plain = [word.decode() for word in _written(text)]
+    runs: list[list[int]] = []
+    for place, word in enumerate(plain):
+        if word.isdecimal():
+            if place and plain[place - 1].isdecimal():
+                runs[-1].append(int(words[place]))
+            else:
+                runs.append([int(words[place])])
+    return [tuple(run) for run in runs]
+
+
+def _written(text: str) -> list[bytes]:
+    found = Words(pa.array([text], pa.string()))
+    return [found.data[i:j].tobytes() for i, j in zip(found.start, found.end, strict=True)]
+
+
+def holds(region: np.ndarray, run: tuple[int, ...]) -> bool:
+    """The words of ``run`` stand in ``region``, one after the other."""
+    found = region.tolist()
+    return any(tuple(found[i : i + len(run)]) == run for i in range(len(found) - len(run) + 1))
 
 
 def run_hashes(words: np.ndarray, size: int = RUN) -> np.ndarray:
@@ -122,6 +171,7 @@ class Index:
 
     def __post_init__(self) -> None:
         self.words = [word_hashes(text) for text in self.templates.values()]
+        self.versions = [version_runs(text, words) for text, words in zip(self.templates.values(), self.words, strict=True)]
         self.places = defaultdict(list)
         for number, words in enumerate(self.words):
             hashes = run_hashes(words)
@@ -131,7 +181,24 @@ class Index:
         self.maybe[[key >> 44 for key in self.places]] = True
 
     def matches(self, words: Words, min_coverage: float) -> Iterator[tuple[int, int, int, int, int]]:
-        """(document, template, matched words, first and end word) of each passage, in order."""
+        """(document, template, matched words, first and end word) of each passage, in order.
+
+        The version numbers of a template must stand in the passage. Of templates that meet in some
+        words that with most matched words stays, of these that of the greatest coverage, then the first.
+        """
+        best: dict[int, list[tuple[int, int, int, int, int]]] = defaultdict(list)
+        for found in self.candidates(words, min_coverage):
+            best[found[0]].append(found)
+        for _, found in sorted(best.items()):
+            kept: list[tuple[int, int, int, int, int]] = []
+            for one in sorted(found, key=lambda f: (-f[2], len(self.words[f[1]]), f[1], f[3])):
+                place = bisect(kept, one[3], key=lambda k: k[3])
+                if (not place or kept[place - 1][4] <= one[3]) and (place == len(kept) or one[4] <= kept[place][3]):
+                    kept.insert(place, one)
+            yield from kept
+
+    def candidates(self, words: Words, min_coverage: float) -> Iterator[tuple[int, int, int, int, int]]:
+        """The passages of each template by itself."""
         hashes = run_hashes(words.hash)
         hits = defaultdict(list)
         for at in np.flatnonzero(self.maybe[hashes >> np.uint64(44)]):
@@ -155,7 +222,8 @@ class Index:
                 begin = max(end_before, min(diagonals) - MARGIN)
                 region = words.hash[begin : min(high, max(diagonals) + len(template) + MARGIN)]
                 matched, _, _, first, end = align(template, region, min(diagonals) - MARGIN - begin, max(diagonals) + MARGIN - begin)
-                if matched >= min_coverage * len(template) and matched:
+                named = all(holds(region[first:end], run) for run in self.versions[number])
+                if matched >= min_coverage * len(template) and matched and named:
                     yield doc, number, matched, int(begin + first), int(begin + end)
                     end_before = begin + end
 
@@ -171,7 +239,7 @@ def scan(
 
     Words are runs of letters and digits, A-Z as a-z; ``start`` and ``end`` are code points, end
     exclusive. A template shorter than a run is never found, nor is anything in a null or
-    empty text. Each passage of a text is given; repeated rows give repeated results; an
+    empty text. A passage has one license, the best (see :meth:`Index.matches`). Each passage of a text is given; repeated rows give repeated results; an
     empty table gives none. Other columns are not read. The templates are an argument,
     so they fit the driver and every task.
     """

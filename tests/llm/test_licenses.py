@@ -67,3 +67,30 @@ def test_edge_rows(documents):
     assert sorted((str(r["doc_id"]), r["start"]) for r in found) == [("3", 0), ("3", 0), ("4", 500_000), ("None", 0)]
     assert licenses.scan(documents()).collect() == []
     assert licenses.scan(rows, templates={"short": "two words", "none": ""}).collect() == []
+
+
+def test_families_and_versions_are_told_apart(documents):
+    gpl = licenses.TEMPLATES["GPL-3.0 header"]
+    cases = {
+        "GNU General Public License, version 2.": ["GPL-2.0 name"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        gpl.replace("General", "Lesser General").replace("program", "library").replace("version 3", "version 2.1"): ["LGPL-2.1 header"],
+        gpl.replace("General", "Affero General"): ["AGPL-3.0 header"],
+        gpl.replace("version 3", "version 2"): ["GPL-2.0 header"],
+        gpl.replace("version 3", "version 9"): [],
+        "Licensed under CC BY-NC 3.0.": ["CC-BY-NC-3.0"],
+        "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0"],
+        "Licensed under CC BY-NC 9.0.": [],
+        licenses.TEMPLATES["Apache-2.0 header"]: ["Apache-2.0 header"],
+        f"{licenses.TEMPLATES['Apache-2.0']} {licenses.TEMPLATES['MIT']}": ["Apache-2.0", "MIT"],
+    }
+    found = licenses.scan(documents(*enumerate(f"one {text} two" for text in cases))).collect()
+    for number, names in enumerate(cases.values()):
+        rows = sorted((r["start"], r["license"]) for r in found if r["doc_id"] == number)
+        assert [name for _, name in rows] == names
+
+
+def test_every_template_finds_itself(documents):
+    names = list(licenses.TEMPLATES)
+    found = licenses.scan(documents(*enumerate(licenses.TEMPLATES.values()))).collect()
+    assert sorted((r["doc_id"], r["license"], r["coverage"]) for r in found) == [(i, name, 1.0) for i, name in enumerate(names)]
