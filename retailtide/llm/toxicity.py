@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import labelled
 from .batches import Words, map_batches, text_slices, word_hashes
 
@@ -70,28 +71,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30)))
 
 
-def _start(docs: list[tuple[list[np.ndarray], int]], least: int) -> np.ndarray:
-    """Log odds of the words that some labelled documents share, 0 for all others."""
+def start(seen: np.ndarray, total: tuple[int, int], least: int = LEAST_DOCS) -> np.ndarray:
+    """Log odds of the words that some labelled documents share, 0 for all others.
+
+    ``seen`` has the documents of each label that hold each word, ``total`` all of each label.
+    """
+    odds = np.log((seen[1] + 0.5) / (total[1] + 1)) - np.log((seen[0] + 0.5) / (total[0] + 1))
+    # a word must stand out of what chance gives, in standard errors of the log odds
+    odds *= (np.abs(odds) > 3 * np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))) & (seen.sum(axis=0) >= least)
+    return np.clip(odds, -4, 4).astype(np.float64)
+
+
+def _counted(docs: list[tuple[list[np.ndarray], int]], least: int) -> np.ndarray:
     seen = np.zeros((2, BUCKETS), dtype=np.int32)
     total = [0, 0]
     for parts, label in docs:
         seen[label][np.unique(np.concatenate(parts)) if parts else np.zeros(0, int)] += 1
         total[label] += 1
-    odds = np.log((seen[1] + 0.5) / (total[1] + 1)) - np.log((seen[0] + 0.5) / (total[0] + 1))
-    # a word must stand out of what chance gives, in standard errors of the log odds
-    odds *= (np.abs(odds) > 3 * np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))) & (seen.sum(axis=0) >= least)
-    return np.clip(odds, -4, 4).astype(np.float64)
+    return start(seen, tuple(total), least)
 
 
-def train(docs: list[tuple[list[np.ndarray], int]], terms: list[int], seed: int = 7, penalty: float = PENALTY, least: int = LEAST_DOCS) -> Model:
+def train(
+    docs: list[tuple[list[np.ndarray], int]],
+    terms: list[int],
+    seed: int = 7,
+    penalty: float = PENALTY,
+    least: int = LEAST_DOCS,
+    weight: np.ndarray | None = None,
+) -> Model:
     """A model from (sentences as arrays of buckets, label) of each document.
 
+    ``weight`` is what :func:`start` gives, counted from ``docs`` where it is not given.
     With no documents, or of one label only, every score is the share of label 1, or 0.5.
     """
     labels = {label for _, label in docs}
     if len(labels) < 2:
         return Model(np.zeros(BUCKETS, dtype=np.float32), 0.0 if not labels else 30.0 if labels == {1} else -30.0)
-    weight = _start(docs, least)
+    weight = _counted(docs, least) if weight is None else weight.copy()
     active = weight != 0
     active[terms] = True
     weight[terms] = 0  # what their texts are labelled says nothing of the terms
@@ -123,25 +139,67 @@ def train(docs: list[tuple[list[np.ndarray], int]], terms: list[int], seed: int
     return Model(weight.astype(np.float32), float(bias))
 
 
-def fit(sample: DataFrame, terms: list[str] | None = None) -> Model:
-    """A model of a bounded (text, label) sample; texts become hashed sentences in the tasks."""
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for part in text_slices(batch):
+            bucket, number, words = sentences(part.column("text"))
+            yield part, words, bucket, number
+
+
+def word_counts(sample: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """(bucket, n0, n1): the documents of each label that hold a word, for words of ``least`` documents or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words, bucket, _ in _per_document(batches):
+            found = np.unique(words.doc * BUCKETS + bucket)
+            label = part.column("label").take(pa.array(found // BUCKETS))
+            yield pa.RecordBatch.from_arrays([pa.array((found % BUCKETS).astype(np.int32)), label], names=["bucket", "label"])
+
+    each = map_batches(sample, run, "bucket int, label int")
+    n0, n1 = (F.count_if(F.col("label") == label).alias(f"n{label}") for label in (0, 1))
+    return each.groupBy("bucket").agg(n0, n1).filter(F.col("n0") + F.col("n1") >= least)
+
+
+def fit(sample: DataFrame, terms: list[str] | None = None, least: int = LEAST_DOCS) -> Model:
+    """A model of a bounded (text, label) sample.
+
+    Words are counted in the tasks; then only those that carry weight, and the identity terms,
+    travel to the driver, sentence by sentence. Of sentences without such words one of a document does.
+    """
+    sample = stored(sample, "toxicity-sample")
+    buckets = sorted({int(h >> np.uint64(44)) for term in (IDENTITY_TERMS if terms is None else terms) for h in word_hashes(term)})
+    total = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
+    counts = word_counts(sample, least).toArrow()
+    seen = np.zeros((2, BUCKETS), dtype=np.int32)
+    for label in (0, 1):
+        seen[label][counts.column("bucket").to_numpy()] = counts.column(f"n{label}").to_numpy()
+    weight = start(seen, (total.get(0, 0), total.get(1, 0)), least)
+    active = weight != 0
+    active[buckets] = True
+    shared = sample.sparkSession.sparkContext.broadcast(np.packbits(active))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch):
-                bucket, number, words = sentences(part.column("text"))
-                first = words.first
-                held = [(bucket[first[i] : first[i + 1]], number[first[i] : first[i + 1]]) for i in range(part.num_rows)]
-                columns = [pa.array([a.tobytes() for a, _ in held], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in held], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*columns, part.column("label")], names=["words", "number", "label"])
-
-    table = map_batches(sample, run, "words binary, number binary, label int").toArrow()
+        used = np.unpackbits(shared.value).astype(bool)
+        for part, words, bucket, number in _per_document(batches):
+            rows = []
+            for i in range(part.num_rows):
+                own = slice(words.first[i], words.first[i + 1])
+                ids, sentence = bucket[own], number[own]
+                weighs = used[ids]
+                held = np.unique(sentence[weighs])
+                none = np.setdiff1d(sentence, held)[:1]
+                order = np.union1d(held, none)
+                sizes = np.searchsorted(sentence[weighs], order, "right") - np.searchsorted(sentence[weighs], order, "left")
+                rows.append((ids[weighs].astype(np.int32).tobytes(), sizes.astype(np.int32).tobytes()))
+            columns = [pa.array([row[k] for row in rows], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, part.column("label")], names=["words", "sizes", "label"])
+
+    table = map_batches(sample, run, "words binary, sizes binary, label int").toArrow()
     docs = []
-    for words, number, label in sorted(zip(*(table.column(c).to_pylist() for c in ("words", "number", "label")), strict=True)):
-        ids, cut = np.frombuffer(words, dtype=np.int32), np.flatnonzero(np.diff(np.frombuffer(number, dtype=np.int32)))
-        docs.append((np.split(ids, cut + 1) if len(ids) else [], label))
-    buckets = {int(h >> np.uint64(44)) for term in (IDENTITY_TERMS if terms is None else terms) for h in word_hashes(term)}
-    return train(docs, sorted(buckets))
+    for words, sizes, label in sorted(zip(*(table.column(c).to_pylist() for c in ("words", "sizes", "label")), strict=True)):
+        cuts = np.cumsum(np.frombuffer(sizes, dtype=np.int32))
+        docs.append((np.split(np.frombuffer(words, dtype=np.int32), cuts[:-1]) if len(cuts) else [], label))
+    return train(docs, buckets, weight=weight)
 
 
 def classifier(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, most: int = MOST_ROWS) -> Model:

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -91,3 +92,21 @@ def test_edge_rows(spark, documents, module):
     one = module.classifier(rows, spark.createDataFrame([(i, 1, 1) for i in range(9)], "doc_id bigint, quality int, toxic int"))
     assert all(r[name] > 0.99 for r in module.scored(rows, one).collect())
     assert module.scored(documents(), model).collect() == []
+
+
+def test_toxicity_is_the_same_as_trained_on_whole_sentences(spark, given, small_dir):
+    labels = spark.read.parquet(f"{small_dir}/labels.parquet")
+    sample = labelled.sample(given, labels, "toxic", 4, 2, 8000)
+    buckets = sorted({int(h >> np.uint64(44)) for term in toxicity.IDENTITY_TERMS for h in word_hashes(term)})
+    docs = []
+    for row in sample.collect():
+        bucket, number, _ = toxicity.sentences(pa.array([row["text"]], pa.string()))
+        docs.append((np.split(bucket, np.flatnonzero(np.diff(number)) + 1) if len(bucket) else [], row["label"]))
+    counted = {r["bucket"]: (r["n0"], r["n1"]) for r in toxicity.word_counts(sample, 1).collect()}
+    plain = [Counter(int(b) for parts, own in docs if own == label for b in set(np.concatenate(parts).tolist() if parts else [])) for label in (0, 1)]
+    assert counted == {b: (plain[0][b], plain[1][b]) for b in plain[0] | plain[1]}
+    whole = toxicity.train(docs, buckets)
+    sent = toxicity.fit(sample)
+    # the order of the steps may differ, not the words that weigh
+    assert set(np.flatnonzero(sent.weight)) == set(np.flatnonzero(whole.weight))
+    assert np.abs(sent.weight - whole.weight).max() < 1
