@@ -24,6 +24,9 @@ BITS = 64
 #: A key under which more fingerprints lie is divided by further bits before any
 #: two are compared. Results are the same for every value of at least 64.
 CROWD = 1024
+#: Classes of equal fingerprints with more than one in so many of all rows meet their label
+#: in a broadcast; there are fewer of them.
+HOT_CLASSES = 1 << 12
 
 _HASH = partial(xxhash.xxh64_intdigest, seed=42)
 
@@ -180,8 +183,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows.
     """
     prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-prints")
-    classes = prints.groupBy("fingerprint").agg(F.min(id_col).alias("smallest"))
+    classes = prints.groupBy("fingerprint").agg(F.min(id_col).alias("smallest"), F.count(F.lit(1)).alias("n_rows"))
     classes = stored(classes, "simhash-classes")
+    rows = classes.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
     pairs = stored(links(classes.select("fingerprint"), max_bits), "simhash-links")
     both = pairs.select("a").union(pairs.select("b"))
     degree = both.groupBy(F.col("a").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n_links"))
@@ -191,11 +195,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = roots.join(least, "root").join(degree, "fingerprint").select("fingerprint", "component_id", "n_links")
     labels = classes.join(members, "fingerprint", "left").select(
         "fingerprint",
+        (F.col("n_rows") > rows / HOT_CLASSES).alias("hot"),
         F.coalesce("component_id", "smallest").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
-    # a hot class meets its one label row here; the skew join may split it
-    return prints.join(stored(labels, "simhash-labels"), "fingerprint").select(id_col, "fingerprint", "component_id", "n_links")
+    labels = stored(labels, "simhash-labels")
+    # classes that would weigh in a partition meet their label in a broadcast of a fixed bound
+    hot, rest = (labels.filter(part).drop("hot") for part in (F.col("hot"), ~F.col("hot")))
+    hot = F.broadcast(hot)
+    found = (prints.join(hot, "fingerprint"), prints.join(hot, "fingerprint", "left_anti").join(rest, "fingerprint"))
+    both = [part.select(id_col, "fingerprint", "component_id", "n_links") for part in found]
+    return both[0].union(both[1])
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 3) -> DataFrame:

@@ -96,3 +96,13 @@ def test_edge_rows(spark, documents):
     assert simhash.near_copies(documents()).count() == 0
     assert sorted(r["doc_id"] for r in simhash.one_of_each(rows).collect()) == [2, 3, 7]
     assert simhash.one_of_each(rows).columns == rows.columns
+
+
+def test_labels_are_the_same_wherever_they_meet_their_rows(documents, monkeypatch):
+    rows = [(i, "one text of a third of all" if i % 3 == 0 else f"own words number {i} stand here {i * 7}") for i in range(90)]
+    rows += [(200, None), (201, ""), (None, "alone"), (5, "again"), (5, "again")]
+    found = []
+    for hot in (1, 8, 1 << 20):
+        monkeypatch.setattr(simhash, "HOT_CLASSES", hot)
+        found.append(sorted(map(str, simhash.near_copies(documents(*rows)).collect())))
+    assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
