@@ -219,8 +219,8 @@ def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY,
     ``items`` should be a stored table: it is summed first, to choose the number of
     tasks, and dealt out evenly in an order drawn by hash. Equal rows are placed one
     by one. Lengths must be 1 to ``capacity``; a null one or one outside fails the
-    job. An empty table stays empty. The rows are the same for any number of
-    machines, and a task that runs again places alike.
+    job. An empty table stays empty. A task that runs again places alike; which rows
+    share a task follows how the table is read.
     """
     total = items.agg(F.sum(F.col(length_col).cast("long"))).first()[0] or 0
     tasks = max(1, -(-total // (capacity * task_sequences)))

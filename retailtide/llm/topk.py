@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import stored, work_folder
 from .batches import map_batches
 
 SCALE = 1024
@@ -139,6 +139,15 @@ def search(queries: Rotated, rows: Rotated, best: Best) -> bool:
     return True
 
 
+def _dealt(held: DataFrame, blocks: int) -> DataFrame:
+    """(id, ints, block) of the queries, dealt by chance so that an id that repeats fills no block, and stored by block."""
+    spark = held.sparkSession
+    folder = work_folder(spark, "queries")
+    drawn = held.filter("asks").select("id", "ints", F.floor(F.rand(11) * blocks).cast("int").alias("block"))
+    drawn.repartition("block").write.partitionBy("block").parquet(folder)
+    return spark.read.schema("id bigint, ints array<bigint>, block int").parquet(folder)
+
+
 def top_k(
     frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE
 ) -> DataFrame:
@@ -149,6 +158,9 @@ def top_k(
     each query row is answered. Rows without id, vector or with a component that is null or not
     finite take no part; shorter vectors are filled up with zeros. All rows are returned
     if there are fewer than ``k``; empty tables give none.
+
+    The queries pass in blocks of about ``QUERY_BLOCK``: the answers of one are written to a
+    work folder and its broadcast is released before the next is read.
     """
     taking = frame.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     vectors = taking.select(F.col(id_col).cast("long").alias("id"), whole(F.col(vector_col), scale).alias("ints"), F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -158,9 +170,8 @@ def top_k(
     held = stored(ordered, "vectors")
     spark = frame.sparkSession
     facts = held.agg(F.max(F.size("ints")).alias("width"), F.count_if("asks").alias("asks"), F.count(F.lit(1)).alias("rows")).first()
-    result = "query_id bigint, vec_id bigint, score bigint"
     if not facts["asks"]:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+        return spark.createDataFrame([], f"query_id bigint, rank int, `{id_col}` bigint, score bigint")
     width = facts["width"]
     values, vectors_of = np.linalg.eigh(_gram(held, width))
     rotation = vectors_of[:, np.argsort(-values)]
@@ -170,9 +181,10 @@ def top_k(
     head_rows = held.filter(F.col("length2") >= long).limit(HEAD).select("id", "ints").toArrow().combine_chunks().to_batches()[0]
     head = Rotated(head_rows.column("id").to_numpy(), _matrix(head_rows.column("ints"), width), rotation)
     blocks = -(-facts["asks"] // QUERY_BLOCK)
-    found = None
+    asking = _dealt(held, blocks)
+    answers = work_folder(spark, "answers")
     for block in range(blocks):
-        asked = held.filter("asks").filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).select("id", "ints").orderBy("id").toArrow()
+        asked = asking.filter(F.col("block") == block).select("id", "ints").toArrow()
         if not asked.num_rows:
             continue
         asked = asked.combine_chunks().to_batches()[0]
@@ -192,13 +204,13 @@ def top_k(
                     search(queries, rows, best)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(best.query), pa.array(queries.ids[best.query]), pa.array(best.vec), pa.array(best.score)],
-                names=["row", "query_id", "vec_id", "score"],
+                names=["row", "query_id", "id", "score"],
             )
 
-        one = map_batches(held.select("id", "ints"), run, f"row bigint, {result}").withColumn("block", F.lit(block))
-        found = one if found is None else found.union(one)
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("block", "row", "query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
+        found = map_batches(held.select("id", "ints"), run, "row bigint, query_id bigint, id bigint, score bigint")
+        order = Window.partitionBy("row").orderBy(F.desc("score"), "id")
+        ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        ranked.select("query_id", "rank", "id", "score").write.mode("append").parquet(answers)
+        shared.destroy()
+    found = spark.read.schema("query_id bigint, rank int, id bigint, score bigint").parquet(answers)
+    return found.withColumnRenamed("id", id_col)

@@ -74,6 +74,19 @@ def test_repeated_ids_and_no_rows(spark):
     assert run(spark, [], 10) == [] and run(spark, [(5, [1.0])], 10) == [] and run(spark, [(0, [1.0])], 10) == []
 
 
+def test_an_id_that_repeats_fills_no_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    draw = np.random.default_rng(8)
+    rows = [(i % 3 * 10 if i % 3 else 0, [float(x) for x in draw.normal(size=4)]) for i in range(120)]
+    frame = spark.createDataFrame([(i, v, True) for i, v in rows], "id bigint, ints array<double>, asks boolean")
+    dealt = topk._dealt(frame.withColumn("ints", F.transform("ints", lambda x: F.floor(x * 1024))), 8)
+    sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
+    assert sum(sizes.values()) == 120 and max(sizes.values()) <= 40
+    assert run(spark, rows, 10, k=3) == plain(rows, 10, k=3)
+    named = topk.top_k(frame.select(F.col("id").alias("key"), F.col("ints").alias("v"), "asks"), F.lit(False), id_col="key", vector_col="v")
+    assert named.columns == ["query_id", "rank", "key", "score"] and named.count() == 0
+
+
 def test_bounds_leave_out_most_pairs():
     draw = np.random.default_rng(3)
     ints = (draw.normal(size=(2000, 32)) * (0.6 ** np.arange(32)) * 1000).astype(np.int64)
