@@ -32,7 +32,7 @@ from .sales import ORACLE as SALE_ORACLE
 from .visits import ORACLE as VISIT_ORACLE
 
 # Micro-batches of a replay in time order, which the tables themselves are not in.
-BATCHES = 6
+BATCHES = 4
 
 # How long after its event a log line arrives, where that shows.
 LATE_MS = 3_600_000
@@ -142,22 +142,26 @@ def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in time order, in several batches."""
     work = work_folder(spark, "order")
     names = ["id", "user_id", "order_status", "total_amount", "consignee_tel", "create_time"]
     schema = T.StructType([ORDER[name] for name in names])
     orders = streaming.order_table(f"{work}/orders", schema, ONE_FOLDER)
-    feed = order_info(_stream(spark, sf_dir, "orders")).select(*names)
-    streaming.drain(streaming.order_stream(feed, orders, f"{work}/checkpoint", ("create_time",)))
+    feed = replay_in_order({"orders": (table(spark, sf_dir, "orders"), "o_orderdate")}, work, BATCHES)
+    rows = order_info(feed["orders"]).select(*names)
+    streaming.drain_each(streaming.order_stream(rows, orders, f"{work}/checkpoint", ("create_time",)), feed.arrivals())
     return orders.read(spark)
 
 
 def user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User records in the order of their versions, in several batches: a later one replaces those stored."""
     work = work_folder(spark, "user")
     users = streaming.user_table(f"{work}/users")
-    feed = user_feed(_stream(spark, sf_dir, "customer"), _stream(spark, sf_dir, "orders"))
+    records = user_feed(*(table(spark, sf_dir, name) for name in ("customer", "orders")))
+    feed = replay_in_order({"users": (records, "version")}, work, BATCHES)
     unknown = F.lit(None).cast("string")
-    feed = feed.withColumn("birthday", unknown).withColumn("gender", unknown)
-    streaming.drain(streaming.user_stream(feed, users, f"{work}/checkpoint", ("version",)))
+    rows = feed["users"].withColumn("birthday", unknown).withColumn("gender", unknown)
+    streaming.drain_each(streaming.user_stream(rows, users, f"{work}/checkpoint", ("version",)), feed.arrivals())
     return users.read(spark).select("id", "login_name", "user_level")
 
 
@@ -169,16 +173,15 @@ def sale_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = order_detail(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
     feeds = replay_in_order({"orders": (orders, "order_ts"), "details": (details, "detail_ts")}, work, BATCHES)
     users = user_info(without_debt(table(spark, sf_dir, "customer")))
-    streaming.drain(
-        streaming.sale_stream(
-            feeds["orders"],
-            feeds["details"],
-            lambda ids: users.join(ids, "id", "left_semi"),
-            lines,
-            f"{work}/checkpoint",
-            as_of=AS_OF,
-        )
+    job = streaming.sale_stream(
+        feeds["orders"],
+        feeds["details"],
+        lambda ids: users.join(ids, "id", "left_semi"),
+        lines,
+        f"{work}/checkpoint",
+        as_of=AS_OF,
     )
+    streaming.drain_each(job, feeds.arrivals())
     return lines.read(spark)
 
 
@@ -189,29 +192,31 @@ def new_devices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # batches by a number that has nothing to do with time
     mixed = events.withColumn("turn", F.timestamp_seconds(F.col("event_id") % 997))
-    logs = replay_in_order({"events": (mixed, "turn")}, work, BATCHES)["events"]
-    streaming.drain(streaming.visit_stream(startup_log(logs), visits, f"{work}/checkpoint", ("event_id",), devices))
+    feed = replay_in_order({"events": (mixed, "turn")}, work, BATCHES)
+    job = streaming.visit_stream(startup_log(feed["events"]), visits, f"{work}/checkpoint", ("event_id",), devices)
+    streaming.drain_each(job, feed.arrivals())
     found = devices.new.read(spark).filter("is_new").groupBy("first_date").agg(F.count("*").alias("new_devices"))
     return _text(found, "first_date")
 
 
-def _alert_stream(spark: SparkSession, sf_dir: str) -> streaming.AlertTable:
+def coupon_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts, windows still open included; all events come in one batch, in no order."""
     work = work_folder(spark, "alert")
     found = streaming.alert_table(f"{work}/alerts")
     events = event_info(_stream(spark, sf_dir, "events"))
-    size, slide = alert_plans.SIZE, alert_plans.SLIDE
-    streaming.drain(streaming.alert_stream(events, found, f"{work}/checkpoint", size, slide))
-    return found
-
-
-def coupon_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts, windows still open included."""
-    return alert_plans.shown(_alert_stream(spark, sf_dir).read(spark))
+    streaming.drain(streaming.alert_stream(events, found, f"{work}/checkpoint", alert_plans.SIZE, alert_plans.SLIDE))
+    return alert_plans.shown(found.read(spark))
 
 
 def coupon_alert_document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents of the live alerts, a row per member."""
-    return _alert_stream(spark, sf_dir).documents(spark)
+    """The documents of the live alerts, a row per member; events come in time order, in several batches."""
+    work = work_folder(spark, "alert")
+    found = streaming.alert_table(f"{work}/alerts")
+    feed = replay_in_order({"events": (table(spark, sf_dir, "events"), "ts")}, work, BATCHES)
+    events = event_info(feed["events"])
+    job = streaming.alert_stream(events, found, f"{work}/checkpoint", alert_plans.SIZE, alert_plans.SLIDE)
+    streaming.drain_each(job, feed.arrivals())
+    return found.documents(spark)
 
 
 QUERIES = {

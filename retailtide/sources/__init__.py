@@ -2,9 +2,10 @@
 
 from .records import open_changes, parse_changes, parse_records, quarantined, rejected_records
 from .tables import jdbc_table, on_day, parquet_table
-from .topics import file_stream, kafka_options, kafka_topic, replay_in_order
+from .topics import Replay, file_stream, kafka_options, kafka_topic, replay_in_order
 
 __all__ = [
+    "Replay",
     "file_stream",
     "jdbc_table",
     "kafka_options",

@@ -15,7 +15,7 @@ from .jobs import (
     visit_stream,
     visit_table,
 )
-from .run import drain, every
+from .run import drain, drain_each, every
 
 __all__ = [
     "AlertTable",
@@ -25,6 +25,7 @@ __all__ = [
     "change_stream",
     "device_table",
     "drain",
+    "drain_each",
     "every",
     "log_archive_stream",
     "log_route_stream",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 TRIGGER = "5 seconds"
@@ -17,3 +19,8 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def drain_each(writer: DataStreamWriter, arrivals: Iterable) -> list[StreamingQuery]:
+    """Process what each arrival brings in a run of its own; the checkpoint hands state on from run to run."""
+    return [drain(writer) for _ in arrivals]

@@ -110,10 +110,9 @@ def test_a_replay_in_order_keeps_an_hour_of_state(spark, small_dir, tmp_path):
     batch = sale_lines(enrich_orders(orders), details, users, ent.AS_OF, columns=SALE_COLUMNS)
     feeds = replay_in_order({"o": (orders, "order_ts"), "d": (details, "detail_ts")}, str(tmp_path / "in"), 12)
     table = streaming.sale_table(str(tmp_path / "sales"), ())
-    query = streaming.drain(
-        streaming.sale_stream(feeds["o"], feeds["d"], lambda _: users, table, str(tmp_path / "cp"), "1 minute", 600, ent.AS_OF, 1)
-    )
-    progress = [p for p in query.recentProgress if p["stateOperators"]]
+    job = streaming.sale_stream(feeds["o"], feeds["d"], lambda _: users, table, str(tmp_path / "cp"), "1 minute", 600, ent.AS_OF, 1)
+    runs = streaming.drain_each(job, feeds.arrivals())
+    progress = [p for run in runs for p in run.recentProgress if p["stateOperators"]]
     assert sum(p["numInputRows"] > 0 for p in progress) >= 4
     kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress]
     removed = sum(p["stateOperators"][0]["numRowsRemoved"] for p in progress)
@@ -126,6 +125,22 @@ def test_a_replay_in_order_keeps_an_hour_of_state(spark, small_dir, tmp_path):
     assert rows(table.read(spark).select("order_detail_id")) == rows(met.select(F.col("id").alias("order_detail_id")))
 
 
+def test_a_slice_of_a_replay_is_a_batch_of_many_files(spark, tmp_path):
+    times = [0, 5, 10, 11, 12, 13, 14, 95, 100, None]
+    # slices of 11 seconds, some of them without rows
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, at long").repartition(4, "id")
+    feed = replay_in_order({"t": (frame, "at"), "none": (frame.filter("id < 0"), "at")}, str(tmp_path / "in"), 10)
+    seen = []
+
+    def note(batch, number):
+        seen.append(sorted(row["id"] for row in batch.collect()))
+
+    job = feed["t"].unionByName(feed["none"]).writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(note)
+    runs = streaming.drain_each(job, feed.arrivals())
+    assert len(runs) == 10 and [ids for ids in seen if ids] == [[0, 1, 2, 9], [3, 4, 5, 6], [7], [8]]
+    assert len(list((tmp_path / "in" / "t").glob("*.parquet"))) > len(seen)
+
+
 def test_first_days_move_to_earlier_ones(spark, tmp_path):
     devices = streaming.device_table(str(tmp_path))
     day = lambda n: dt.date(2024, 1, n)
