@@ -27,6 +27,8 @@ CROWD = 1024
 #: Classes of equal fingerprints with more than one in so many of all rows meet their label
 #: in a broadcast; there are fewer of them.
 HOT_CLASSES = 1 << 12
+#: Parts in which the rows of a class are first counted.
+DEALS = 64
 
 _HASH = partial(xxhash.xxh64_intdigest, seed=42)
 
@@ -183,7 +185,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows.
     """
     prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-prints")
-    classes = prints.groupBy("fingerprint").agg(F.min(id_col).alias("smallest"), F.count(F.lit(1)).alias("n_rows"))
+    # a hot class has a row from each map task: these meet in several tasks first
+    deal = unused(prints, "deal")
+    dealt = prints.withColumn(deal, F.pmod(F.spark_partition_id(), F.lit(DEALS)))
+    some = dealt.groupBy("fingerprint", deal).agg(F.min(id_col).alias("smallest"), F.count(F.lit(1)).alias("n_rows"))
+    classes = some.groupBy("fingerprint").agg(F.min("smallest").alias("smallest"), F.sum("n_rows").alias("n_rows"))
     classes = stored(classes, "simhash-classes")
     rows = classes.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
     pairs = stored(links(classes.select("fingerprint"), max_bits), "simhash-links")
