@@ -160,7 +160,8 @@ def components(edges: DataFrame) -> DataFrame:
         rounds += 1
     if not rounds:
         return now.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
-    # where each vertex of round k ended: read from the last round back
+    # where each vertex of round k ended: read from the last round back. Each step is a table of
+    # its own, so that no plan, and no set of broadcasts at one time, grows with the rounds
     ends = None
     for number in reversed(range(rounds)):
         step = spark.read.schema("a bigint, into bigint").parquet(f"{folder}/map-{number}")
@@ -169,7 +170,10 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             later = ends.withColumnRenamed("vertex", "into")
             joined = step.join(later, "into", "left")
-            ends = joined.select(F.col("a").alias("vertex"), F.coalesce("root", "into").alias("root"))
+            joined = joined.select(F.col("a").alias("vertex"), F.coalesce("root", "into").alias("root"))
+            joined.write.parquet(f"{folder}/ends-{number}")
+            drop_folder(spark, f"{folder}/ends-{number + 1}")
+            ends = spark.read.schema("vertex bigint, root bigint").parquet(f"{folder}/ends-{number}")
     return ends
 
 

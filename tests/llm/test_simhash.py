@@ -106,3 +106,13 @@ def test_labels_are_the_same_wherever_they_meet_their_rows(documents, monkeypatc
         monkeypatch.setattr(simhash, "HOT_CLASSES", hot)
         found.append(sorted(map(str, simhash.near_copies(documents(*rows)).collect())))
     assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
+
+
+def test_the_plan_of_components_does_not_grow_with_the_rounds(spark):
+    joins = []
+    for length in (4, 400):
+        edges = spark.createDataFrame([(i, i + 1) for i in range(length)], "a bigint, b bigint")
+        roots = simhash.components(edges)
+        joins.append(roots._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        assert roots.select("root").distinct().count() == 1 and roots.count() == length + 1
+    assert max(joins) <= 1
