@@ -237,6 +237,26 @@ def test_folding_panes_changes_no_alert(spark, small_dir, tmp_path):
         assert len(list((tmp_path / "alerts" / part / "changes").iterdir())) <= 2
 
 
+def test_a_batch_reads_panes_of_its_own_time(spark, tmp_path):
+    day = 86_400
+    table = streaming.alert_table(str(tmp_path / "alerts"))
+    for batch, first in enumerate((0, 40 * day, 41 * day)):
+        events = spark.createDataFrame(
+            [("m", u, "coupon", "i", at(first + s)) for u in "abc" for s in (0, 7200)],
+            "mid string, uid string, evid string, itemid string, event_ts timestamp",
+        )
+        attempt = table.panes.append(alert_ops.bucket_counts(events, 300, 300), batch)
+    brought = table.panes.brought(spark, 2, attempt)
+    touched = brought.select("bucket").distinct()
+    held = table.held(spark, touched)
+    assert rows(held.drop("span", "batch_id")) == rows(brought.drop("batch_id"))
+    assert table.panes.versions(spark).count() == 3 * held.count()
+    # files of other days are told by their range of buckets; no part without rows takes tasks
+    low = min(row[0] for row in touched.collect()) // day * day
+    assert f"GreaterThanOrEqual(bucket,{low})" in plan(held)
+    assert "ExistingRDD" not in plan(held)
+
+
 def test_old_panes_go_and_late_events_of_those_days_are_left_out(spark, tmp_path):
     day = 86_400
     batches = [[("m", u, 0) for u in "abc"], [("m", u, 40 * day) for u in "abc"], [("m", "d", 1), ("n", "e", 40 * day)]]
