@@ -254,6 +254,9 @@ def test_a_batch_reads_panes_of_its_own_time(spark, tmp_path):
     # files of other days are told by their range of buckets; no part without rows takes tasks
     low = min(row[0] for row in touched.collect()) // day * day
     assert f"GreaterThanOrEqual(bucket,{low})" in plan(held)
+    stored = {name.rsplit("/", 1)[-1] for name in held.inputFiles() if "/changes/" in name}
+    own = {row[0] for row in brought.select(F.input_file_name()).distinct().collect()}
+    assert all((name in plan(held)) == any(path.endswith(name) for path in own) for name in stored)
     assert "ExistingRDD" not in plan(held)
 
 
