@@ -2,9 +2,10 @@
 
 from .records import open_changes, parse_changes, parse_records, quarantined, rejected_records
 from .tables import jdbc_table, on_day, parquet_table
-from .topics import Replay, file_stream, kafka_options, kafka_topic, replay_in_order
+from .topics import BoundedReplay, Replay, file_stream, kafka_options, kafka_topic, replay_bounded, replay_in_order
 
 __all__ = [
+    "BoundedReplay",
     "Replay",
     "file_stream",
     "jdbc_table",
@@ -17,5 +18,6 @@ __all__ = [
     "parse_records",
     "quarantined",
     "rejected_records",
+    "replay_bounded",
     "replay_in_order",
 ]

@@ -15,7 +15,7 @@ from .jobs import (
     visit_stream,
     visit_table,
 )
-from .run import drain, drain_each, every
+from .run import drain, drain_each, every, follow
 
 __all__ = [
     "AlertTable",
@@ -27,6 +27,7 @@ __all__ = [
     "drain",
     "drain_each",
     "every",
+    "follow",
     "log_archive_stream",
     "log_route_stream",
     "order_stream",

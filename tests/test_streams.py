@@ -13,11 +13,11 @@ from retailtide.operators import alerts as alert_ops
 from retailtide.operators.orders import enrich_orders
 from retailtide.operators.sales import sale_lines
 from retailtide.operators.visits import first_visits, with_log_time
-from retailtide.plans import entities as ent
+from retailtide.plans import entities as ent, streams
 from retailtide.schemas import ORDER, SALE_COLUMNS, USER, VISIT_COLUMNS
 from retailtide.session import work_folder
 from retailtide.sinks import KeyedTable
-from retailtide.sources import file_stream, replay_in_order
+from retailtide.sources import file_stream, replay_bounded, replay_in_order
 
 FILES = 4
 
@@ -478,3 +478,54 @@ def test_a_run_does_not_take_in_what_earlier_runs_changed(spark, small_dir, tmp_
     # each version is a snapshot; changes are what a later run would take in again, one by one
     state = [path.suffix for path in (tmp_path / "cp" / "state").rglob("*") if path.is_file()]
     assert ".zip" in state and ".changelog" not in state
+
+
+def test_bounded_slices_hold_equal_numbers_of_rows(spark, tmp_path):
+    # most rows lie in one part of the time, some in one second, some have none
+    times = [n for n in range(900)] + [1_000_000, 9_000_000] + [500] * 40 + [None] * 3
+    frame = spark.createDataFrame(list(enumerate(times)), "id int, at long").repartition(4, "id")
+    few = spark.createDataFrame([(-1, 100), (-2, 9_000_000)], "id int, at long")
+    feed = replay_bounded({"t": (frame, "at"), "few": (few, "at"), "none": (few.filter("id > 0"), "at")}, str(tmp_path / "in"), 4, 100)
+    seen, there = [], []
+
+    def note(batch, number):
+        seen.append(sorted((-1 if row["at"] is None else row["at"], row["id"]) for row in batch.collect()))
+        there.append(len(list((tmp_path / "in" / "live").iterdir())))
+
+    job = feed["t"].unionByName(feed["few"]).unionByName(feed["none"]).writeStream
+    conf = dict(spark.conf.getAll)
+    streaming.follow(job.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(note), feed.arrivals(), 2)
+    assert dict(spark.conf.getAll) == conf
+    seen = [part for part in seen if part]
+    assert len(seen) >= 9 and max(map(len, seen)) <= 150 and set(there) == {1}
+    assert sorted(row for part in seen for row in part) == sorted([(-1 if t is None else t, n) for n, t in enumerate(times)] + [(100, -1), (9_000_000, -2)])
+    # a feed's slice may come a batch after that of another; in each the time goes on
+    for mine in (lambda n: n >= 0, lambda n: n < 0):
+        ends = [[at for at, n in part if mine(n)] for part in seen]
+        ends = [(min(part), max(part)) for part in ends if part]
+        assert all(before[1] < after[0] for before, after in zip(ends, ends[1:]))
+
+
+def test_bounded_slices_of_no_rows_or_one(spark, tmp_path):
+    none = spark.createDataFrame([], "id int, at long")
+    for number, frame in enumerate([none, spark.createDataFrame([(1, None)], none.schema), spark.createDataFrame([(1, 5)] * 9, none.schema)]):
+        feed = replay_bounded({"t": (frame, "at")}, str(tmp_path / f"in{number}"), 2, 4)
+        job = feed["t"].writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"cp{number}"))
+        streaming.follow(job.option("path", str(tmp_path / f"out{number}")), feed.arrivals(), 2)
+        assert spark.read.schema(none.schema).parquet(str(tmp_path / f"out{number}")).count() == frame.count()
+
+
+def test_batches_of_the_sale_replay_do_not_grow_with_the_tables(spark, small_dir, monkeypatch):
+    orders, details, users = sale_frames(spark, small_dir)
+    users = users.join(ent.user_info(ent.without_debt(ent.table(spark, small_dir, "customer"))).select("id"), "id", "left_semi")
+    batch = sale_lines(enrich_orders(orders), details, users, ent.AS_OF, columns=SALE_COLUMNS)
+    runs, drain, follow = [], streaming.run.drain, getattr(streaming, "follow", None)
+    monkeypatch.setattr(streaming.run, "drain", lambda writer: runs.append(drain(writer)) or runs[-1])
+    if follow:
+        monkeypatch.setattr(streaming, "follow", lambda *given: runs.append(follow(*given)))
+    monkeypatch.setattr(streams, "BATCH_ROWS", 1000, raising=False)
+    found = streams.QUERIES["sale_stream"](spark, small_dir)
+    taken = [p["numInputRows"] for run in runs for p in run.recentProgress]
+    assert sum(taken) == orders.count() + details.count() > 7000
+    assert max(taken) <= 1200
+    assert rows(found.select(*SALE_COLUMNS)) == rows(batch)
